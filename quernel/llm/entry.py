@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import chat_format, license_scan, line_dedup, mixing, quality_rules
+from quernel.llm import chat_format, license_scan, line_dedup, minhash_dedup, mixing, quality_rules
 from quernel.session import load
 
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_license_scan": lambda s, d: license_scan.query(_docs(s, d)),
         "op8_quality_rules": lambda s, d: quality_rules.query(_docs(s, d)),
         "op9_line_dedup": lambda s, d: line_dedup.query(_docs(s, d)),
+        "op10_minhash_dedup": lambda s, d: minhash_dedup.query(_docs(s, d)),
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": license_scan.oracle(),
         "op8_quality_rules": quality_rules.ORACLE,
         "op9_line_dedup": line_dedup.ORACLE,
+        "op10_minhash_dedup": minhash_dedup.ORACLE,
     }

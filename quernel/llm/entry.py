@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import chat_format, license_scan, line_dedup, minhash_dedup, mixing, quality_rules
+from quernel.llm import chat_format, decontaminate, license_scan, line_dedup, minhash_dedup, mixing, quality_rules, toxicity
 from quernel.session import load
 
 
@@ -16,8 +16,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": lambda s, d: toxicity.query(_docs(s, d), load(s, d, "labels")),
         "op2_chat_format": lambda s, d: chat_format.query(load(s, d, "conversations")),
         "op3_mixing": lambda s, d: mixing.query(_docs(s, d)),
+        "op6_decontaminate": lambda s, d: decontaminate.query(_docs(s, d), load(s, d, "benchmark")),
         "op7_license_scan": lambda s, d: license_scan.query(_docs(s, d)),
         "op8_quality_rules": lambda s, d: quality_rules.query(_docs(s, d)),
         "op9_line_dedup": lambda s, d: line_dedup.query(_docs(s, d)),
@@ -28,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mixing": mixing.ORACLE,
+        "op6_decontaminate": decontaminate.ORACLE,
         "op7_license_scan": license_scan.oracle(),
         "op8_quality_rules": quality_rules.ORACLE,
         "op9_line_dedup": line_dedup.ORACLE,

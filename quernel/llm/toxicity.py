@@ -3,8 +3,8 @@
 Features are the 3- to 6-grams of a lower-cased text, hashed into ``1 << BITS``
 places; a feature's value is the square root of its frequency per thousand
 n-grams, so texts of any length compare. Each feature is scaled by its
-log-count ratio between the classes; a logistic regression on the scaled features is fitted on
-at most ``PER_CLASS`` labelled documents of each class, taken in the order of
+log-count ratio between the classes; a logistic regression on the scaled
+features is fitted on at most ``PER_CLASS`` labelled documents of each class, taken in the order of
 a hash of the id. That bound is the only sample: priors are counted over all
 labelled rows, and every whole text is scored.
 
@@ -34,8 +34,9 @@ from quernel.llm import _kernels as K
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS, SIZES, PER_CLASS = 18, (3, 4, 5, 6), 2500
-#: Documents in which a feature must occur, and the least |log-count ratio|.
-MIN_DOCS, MIN_RATIO = 3, 0.7
+#: Documents in which a feature must occur, the least |log-count ratio|, the
+#: documents that the common rate counts for in it, and the L2 penalty.
+MIN_DOCS, MIN_RATIO, TRUST, PENALTY = 5, 0.7, 10, 2e-3
 
 
 def grams(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -90,7 +91,9 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, steps: int = 150) ->
     del rows
     yes = np.bincount(places, minlength=1 << BITS, weights=often * toxic[owner])
     no = np.bincount(places, minlength=1 << BITS, weights=often * (1 - toxic[owner]))
-    ratio = np.log((1 + yes) / (1 + toxic.sum())) - np.log((1 + no) / (1 + len(toxic) - toxic.sum()))
+    rate, n_yes, n_no = (yes + no) / len(toxic), toxic.sum(), len(toxic) - toxic.sum()
+    # both classes are drawn towards the common rate, so a rare feature has a ratio near 0
+    ratio = np.log((yes + TRUST * rate + 1e-3) / (n_yes + TRUST)) - np.log((no + TRUST * rate + 1e-3) / (n_no + TRUST))
     good = (np.bincount(places, minlength=1 << BITS) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
     use = good[places]
     index = np.cumsum(good) - 1
@@ -101,7 +104,7 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, steps: int = 150) ->
     for t in range(1, steps + 1):
         z = np.bincount(row, weights=w[col] * value, minlength=len(target)) + b
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) / len(target)
-        g = np.bincount(col, weights=error[row] * value, minlength=len(w)) + 1e-4 * w
+        g = np.bincount(col, weights=error[row] * value, minlength=len(w)) + PENALTY * w
         gb = error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import chat_format, decontaminate, license_scan, line_dedup, lm_score, minhash_dedup, mixing, quality_rules, toxicity
+from quernel.llm import chat_format, decontaminate, license_scan, line_dedup, lm_score, minhash_dedup, mixing, quality_rules, substring_dedup, toxicity
 from quernel.session import load
 
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_format": lambda s, d: chat_format.query(load(s, d, "conversations")),
         "op3_mixing": lambda s, d: mixing.query(_docs(s, d)),
         "op4_lm_score": lambda s, d: lm_score.query(_docs(s, d)),
+        "op5_substring_dedup": lambda s, d: substring_dedup.query(_docs(s, d)),
         "op6_decontaminate": lambda s, d: decontaminate.query(_docs(s, d), load(s, d, "benchmark")),
         "op7_license_scan": lambda s, d: license_scan.query(_docs(s, d)),
         "op8_quality_rules": lambda s, d: quality_rules.query(_docs(s, d)),

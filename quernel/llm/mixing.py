@@ -55,9 +55,8 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     """(source, source_size, target) from (source, source_size).
 
     Water filling in closed form: with sources ordered by cap over weight, the
-    level is (total - caps of the full ones) / (weights of the others) for the
-    one number of full sources that is consistent. The window without
-    partitions runs over one row for each source.
+    level is the largest of (total - caps of the first k) / (weights of the
+    others). The window without partitions runs over one row for each source.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
@@ -74,9 +73,9 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     )
     level = (F.col("total") - F.col("full")) / (F.col("all_weight") - F.col("full_weight"))
     levels = levels.withColumn("level", level)
-    # the first source (by fill) that the level doesn't fill fixes the level of all the others
-    first = levels.withColumn("final", F.min(F.when(F.col("cap") > F.col("level") * F.col("weight"), F.col("level"))).over(everything))
-    return first.select("source", "source_size", F.coalesce(F.least("cap", F.col("final") * F.col("weight")), F.col("cap")).alias("target"))
+    # the level rises as long as the next source is over its cap and falls after that
+    final = levels.withColumn("final", F.max("level").over(everything))
+    return final.select("source", "source_size", F.least("cap", F.col("final") * F.col("weight")).alias("target"))
 
 
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS) -> DataFrame:
@@ -165,7 +164,7 @@ f AS (SELECT *, 2.0::DOUBLE * source_size AS cap,
         coalesce(sum(2.0::DOUBLE * source_size) OVER o, 0) AS full_cap, coalesce(sum(w) OVER o, 0) AS full_w, sum(w) OVER () AS all_w, 1.5::DOUBLE * sum(source_size) OVER () AS total
       FROM s WINDOW o AS (ORDER BY 2.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 g AS (SELECT *, (total - full_cap) / (all_w - full_w) AS level FROM f),
-t AS (SELECT source, source_size, coalesce(least(cap, w * (SELECT min(level) FROM g WHERE cap > level * w)), cap) AS target FROM g),
+t AS (SELECT source, source_size, least(cap, w * (SELECT max(level) FROM g)) AS target FROM g),
 p AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 b AS (SELECT *, floor(target - epochs * source_size)::BIGINT AS budget FROM p),

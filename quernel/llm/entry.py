@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from quernel.llm import chat_format, decontaminate, license_scan, line_dedup, lm_score, minhash_dedup, mixing, quality_rules, substring_dedup, toxicity
 from quernel.session import load
 
@@ -25,12 +26,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_license_scan": lambda s, d: license_scan.query(_docs(s, d)),
         "op8_quality_rules": lambda s, d: quality_rules.query(_docs(s, d)),
         "op9_line_dedup": lambda s, d: line_dedup.query(_docs(s, d)),
+        "pipeline": corpus_pipeline.run,
         "op10_minhash_dedup": lambda s, d: minhash_dedup.query(_docs(s, d)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
         "op3_mixing": mixing.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
         "op7_license_scan": license_scan.oracle(),

@@ -29,10 +29,12 @@ passed through by ``deduplicate``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ from quernel.llm._graph import components
 from quernel.llm._native import fresh, salted_join
 from quernel.session import stored
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BANDS, SEED = 32, 20260501
 #: Ids of candidates up to this number are broadcast (8 MB) to the scan that
 #: makes their sets; more are joined by a shuffle.
@@ -187,14 +191,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component; columns of ``docs``.
 
-    Of rows that repeat a kept ``doc_id``, one stays.
+    Of rows that repeat a kept ``doc_id``, one stays; rows without id stay.
     """
-    (mark,) = fresh(docs, "dedup_id")
-    gone = near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias(mark)).where(F.col(mark).isNotNull()).distinct()
-    left = docs.join(gone, docs.doc_id == gone[mark], "left_anti")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(mark))
-    once = left.join(repeated, left.doc_id == repeated[mark], "left_anti")
-    again = left.join(repeated, left.doc_id == repeated[mark], "left_semi").dropDuplicates(["doc_id"])
+    mark, drop, rows = fresh(docs, "dedup_id", "dedup_drop", "dedup_rows")
+    found = near_duplicates(docs, words, percent).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(mark)).agg(F.max(~F.col("kept")).alias(drop), F.count(F.lit(1)).alias(rows))
+    # the text is shuffled once, to meet the ids that go or repeat
+    joined = docs.join(found.where(F.col(drop) | (F.col(rows) > 1)), docs.doc_id == F.col(mark), "left")
+    left = joined.where(~F.coalesce(drop, F.lit(False)))
+    once, again = left.where(F.coalesce(rows, F.lit(1)) == 1), left.where(F.col(rows) > 1).dropDuplicates(["doc_id"])
     return once.unionByName(again).select(*docs.columns)
 
 

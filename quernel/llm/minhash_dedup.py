@@ -9,9 +9,13 @@ Work on groups of copies stays linear:
 
 1. documents with equal sets form a class with one representative;
 2. in each bucket the representatives are compared with the smallest one;
-3. links make components; only pairs of a bucket that lie in different
-   components (few) are compared further, with a second leader, then all of
-   them. A pair inside one component can't change the result.
+3. links make components; a pair inside one component can't change the
+   result, so only documents of buckets that hold several components go on;
+4. of these, a document goes out if so many of its shingles occur in no other
+   open document that no partner could reach the threshold;
+5. the rest is compared in blocks: the documents that buckets connect are dealt
+   into blocks, and each pair of blocks with different components is counted
+   as one product of incidence matrices. Only links come out, never pairs.
 
 So every candidate pair either is confirmed or refuted on full sets, or lies
 inside a component already: the components are those of all confirmed pairs.
@@ -46,6 +50,8 @@ from quernel.session import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS, SEED = 32, 20260501
+#: Documents of one block; two of them meet in a task.
+BLOCK = 512
 #: Ids of candidates up to this number are broadcast (8 MB) to the scan that
 #: makes their sets; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -109,12 +115,13 @@ def _signer(words: int, bands: int) -> Callable:
     return sign
 
 
-def _set_maker(words: int) -> Callable:
+def _set_maker(words: int, short: bool = False) -> Callable:
     def make(batches):
+        kind = np.int32 if short else np.int64
         for batch in batches:
-            sets = [x.view(np.int64) for x in _sets(batch.column(1), words)]
+            sets = [(x >> np.uint64(32)).astype(np.uint32).view(kind) if short else x.view(kind) for x in _sets(batch.column(1), words)]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
-            values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            values = np.concatenate(sets) if sets else np.zeros(0, kind)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "grams"])
 
     return make
@@ -134,6 +141,95 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
     return two.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")
 
 
+def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, n, label) of the buckets that hold several components."""
+    named = buckets.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
+    named = named.select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
+    split = named.groupBy("bucket").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("bucket")
+    return named.join(split, "bucket", "left_semi")
+
+
+def _across(docs: DataFrame, buckets: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """Pairs (a, b, na, nb) of different components that may be linked, or None."""
+    open_rows = stored(_open(buckets, labels), "open")
+    nodes = stored(open_rows.groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label")), "open-nodes")
+    count = nodes.count()
+    if count == 0:
+        return None
+    ids = nodes.select(F.col("node").alias("id"))
+    texts = docs.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
+    # 32 bits of each hash: a clash can only add a candidate, and links are confirmed on full sets
+    sets = stored(texts.mapInArrow(_set_maker(words, short=True), "node long, grams array<int>").dropDuplicates(["node"]), "open-sets")
+    alone = sets.select("node", F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    live = nodes.join(alone, "node", "left").where((F.col("n") - F.coalesce("alone", F.lit(0))) * 100 >= F.col("n") * percent).select("node")
+    open_rows = stored(_open(buckets.join(live, "node", "left_semi"), labels), "open-live")
+    heads = open_rows.groupBy("bucket").agg(F.min("node").alias("head"))
+    if heads.limit(1).count() == 0:
+        return None
+    group = components(open_rows.join(heads, "bucket").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    rows = group.select("node", F.col("label").alias("grp")).join(nodes, "node")
+    per = rows.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("rows"))
+    kinds = per.select("grp", "label", F.when(F.col("rows") >= BLOCK, F.col("label")).alias("big"), "rows")
+    blocks = stored(kinds.groupBy("grp", "big").agg(F.ceil(F.sum("rows") / BLOCK).cast("int").alias("parts")), "blocks")
+    named = rows.join(kinds.drop("rows"), ["grp", "label"]).join(blocks.withColumnRenamed("grp", "g2").withColumnRenamed("big", "b2"), (F.col("grp") == F.col("g2")) & F.col("big").eqNullSafe(F.col("b2")))
+    key = ["grp", F.coalesce("big", F.lit(-1 << 62)).alias("big")]
+    named = named.select("node", "n", "label", *key, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    every = blocks.select(*key, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    left = every.select("grp", F.struct("big", "part").alias("x"))
+    right = every.select("grp", F.struct("big", "part").alias("y"))
+    # one row for two blocks; blocks of one component need no comparison
+    jobs = left.join(right, "grp").where("x <= y AND (x.big <> y.big OR x.big = %d)" % (-1 << 62)).withColumn("job", F.struct("grp", "x", "y"))
+    sides = jobs.select("job", "grp", F.explode(F.array_distinct(F.array("x", "y"))).alias("s"))
+    dealt = sides.join(named.select("grp", F.struct("big", "part").alias("s"), "node", "n", "label"), ["grp", "s"]).join(sets, "node")
+    dealt = dealt.select("job", (F.col("s") == F.col("job.x")).alias("first"), "node", "n", "label", "grams")
+    return dealt.groupBy("job").applyInArrow(_block_counter(percent), "a long, b long, na long, nb long")
+
+
+def _block_counter(percent: int) -> Callable:
+    def count(table: pa.Table) -> pa.Table:
+        first = table.column("first").to_numpy(zero_copy_only=False).astype(bool)
+        node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
+        lists = table.column("grams").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        owner, flat = np.repeat(np.arange(len(node)), sizes), lists.flatten().to_numpy()
+        rows = np.flatnonzero(first)
+        cols = np.flatnonzero(~first) if not first.all() else rows
+        place = np.zeros(len(node), np.int64)
+        place[rows] = np.arange(len(rows))
+        own, gram = np.unique(flat, return_inverse=True)
+        in_rows = np.bincount(gram[first[owner]], minlength=len(own))
+        in_cols = np.bincount(gram[~first[owner]], minlength=len(own)) if not first.all() else in_rows - 1
+        index = np.cumsum((in_rows > 0) & (in_cols > 0)) - 1
+        use = ((in_rows > 0) & (in_cols > 0))[gram]
+        at, who = index[gram[use]], owner[use]
+        if cols is not rows:
+            place[cols] = np.arange(len(cols))
+        shared = np.zeros((len(rows), len(cols)), np.float32)
+        order = np.argsort(at, kind="stable")
+        at, who = at[order], who[order]
+        for k in range(0, int(at[-1]) + 1 if len(at) else 0, 2048):
+            part = slice(np.searchsorted(at, k), np.searchsorted(at, k + 2048))
+            x = np.zeros((len(rows), 2048), np.float32)
+            y = x if cols is rows else np.zeros((len(cols), 2048), np.float32)
+            mine = first[who[part]]
+            x[place[who[part][mine]], at[part][mine] - k] = 1
+            if y is not x:
+                y[place[who[part][~mine]], at[part][~mine] - k] = 1
+            shared += x @ y.T
+        total = n[rows][:, None] + n[cols][None, :]
+        hit = (shared * (100 + percent) >= total * percent) & (label[rows][:, None] != label[cols][None, :])
+        if cols is rows:
+            hit &= node[rows][:, None] < node[cols][None, :]
+        i, j = np.nonzero(hit)
+        a, b, na, nb = node[rows][i], node[cols][j], n[rows][i], n[cols][j]
+        swap = a > b
+        a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
+        return pa.table({"a": a, "b": b, "na": na, "nb": nb})
+
+    return count
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
@@ -151,7 +247,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     member = member.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"), "bands")
     member = stored(member, "members")
     nodes = member.where("n > 0 AND rep IS NOT NULL AND doc_id = rep").select(F.col("rep").alias("node"), "n", F.explode("bands").alias("bucket"))
-    shared = nodes.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min_by("n", "node").alias("low_n"), F.max_by("n", "node").alias("high_n")).where("low <> high")
+    shared = nodes.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("high")).where("low.node <> high")
+    shared = shared.select("bucket", F.col("low.node").alias("low"), F.col("low.n").alias("low_n"))
     buckets = stored(nodes.join(shared, "bucket"), "buckets")
     order = [F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b")]
     sizes = [F.when(F.col("node") < F.col("with"), F.col("n")).otherwise(F.col("m")).alias("na"), F.when(F.col("node") < F.col("with"), F.col("m")).otherwise(F.col("n")).alias("nb")]
@@ -159,29 +256,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     first = stored(first, "pairs-low")
     links = stored(_confirmed(docs, first, words, percent), "links-low")
     labels = components(links)
-    # buckets that still hold two components: the largest node leads, then all pairs across
-    tried = first.select("a", "b")
-    for leader in (True, False):
-        named = buckets.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
-        named = named.select("bucket", "node", "n", "high", "high_n", F.coalesce("label", "node").alias("label"))
-        split = named.groupBy("bucket").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("bucket")
-        open_rows = stored(named.join(split, "bucket", "left_semi"), "open")
-        if open_rows.limit(1).count() == 0:
-            break
-        if leader:
-            heads = open_rows.where("node = high").select(F.col("bucket").alias("hb"), F.col("label").alias("high_label"))
-            across = open_rows.join(heads, F.col("bucket") == F.col("hb")).where("label <> high_label")
-            pairs = across.select("node", "n", F.col("high").alias("with"), F.col("high_n").alias("m")).select(*order, *sizes)
-        else:
-            left = open_rows.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-            right = open_rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-            pairs = left.join(right, "bucket").where("la <> lb AND a < b AND least(na, nb) * 100 >= greatest(na, nb) * %d" % percent).select("a", "b", "na", "nb")
-        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs-across")
-        found = stored(_confirmed(docs, pairs, words, percent), "links-across")
-        tried = tried.unionByName(pairs.select("a", "b"))
+    across = _across(docs, buckets.select("bucket", "node", "n"), labels, words, percent)
+    if across is not None:
+        found = stored(_confirmed(docs, across, words, percent), "links-across")
         if found.limit(1).count():
-            links = links.unionByName(found)
-            labels = components(links)
+            labels = components(links.unionByName(found))
     final = labels.select(F.col("node").alias("l_node"), "label")
     out = member.join(final, F.col("rep") == F.col("l_node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
     kept = F.when(F.col("component_id").isNull(), F.lit(True)).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

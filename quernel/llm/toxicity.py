@@ -4,9 +4,9 @@ Features are the 3- to 6-grams of a lower-cased text, hashed into ``1 << BITS``
 places; a feature's value is the square root of its frequency per thousand
 n-grams, so texts of any length compare. Each feature is scaled by its
 log-count ratio between the classes; a logistic regression on the scaled
-features is fitted on at most ``PER_CLASS`` labelled documents of each class, taken in the order of
-a hash of the id. That bound is the only sample: priors are counted over all
-labelled rows, and every whole text is scored.
+features is fitted on at most ``PER_CLASS`` labelled documents of each class,
+taken in the order of a hash of the id. That bound is the only sample: priors
+are counted over all labelled rows, and every whole text is scored.
 
 The intercept is corrected from the classes' shares in the sample to those in
 all labelled rows. The broadcast model is one float for each place (1 MB).
@@ -84,21 +84,28 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, steps: int = 150) ->
     base = float(np.log(prior / (1 - prior)))
     if not 0 < toxic.sum() < len(toxic):
         return weights, base
-    rows = [_frequencies(x) for x in grams(texts)]
-    owner = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
-    places = np.concatenate([x for x, _ in rows])
-    often = np.concatenate([x for _, x in rows])
-    del rows
-    yes = np.bincount(places, minlength=1 << BITS, weights=often * toxic[owner])
-    no = np.bincount(places, minlength=1 << BITS, weights=often * (1 - toxic[owner]))
+    # two passes over the sample, so that only the features of use are held
+    yes, no, found = np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros(1 << BITS, np.int32)
+    for x, y in zip(grams(texts), toxic, strict=True):
+        own, often = _frequencies(x)
+        (yes if y else no)[own] += often
+        found[own] += 1
     rate, n_yes, n_no = (yes + no) / len(toxic), toxic.sum(), len(toxic) - toxic.sum()
     # both classes are drawn towards the common rate, so a rare feature has a ratio near 0
     ratio = np.log((yes + TRUST * rate + 1e-3) / (n_yes + TRUST)) - np.log((no + TRUST * rate + 1e-3) / (n_no + TRUST))
-    good = (np.bincount(places, minlength=1 << BITS) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
-    use = good[places]
-    index = np.cumsum(good) - 1
-    col, row, scale = index[places[use]], owner[use], ratio[good]
-    value = scale[col] * np.sqrt(often[use])
+    good = (found >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
+    if not good.any():
+        return weights, base
+    index, scale = (np.cumsum(good) - 1).astype(np.int32), ratio[good].astype(np.float32)
+    cols, values, sizes = [], [], []
+    for x in grams(texts):
+        own, often = _frequencies(x)
+        use = good[own]
+        cols.append(index[own[use]])
+        values.append(scale[cols[-1]] * np.sqrt(often[use]))
+        sizes.append(len(cols[-1]))
+    col, value, row = np.concatenate(cols), np.concatenate(values), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    del cols, values
     w, b, target = np.zeros(len(scale)), 0.0, toxic.astype(float)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):

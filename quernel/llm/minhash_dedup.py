@@ -134,7 +134,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
     ids = stored(ids, "pair-ids")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.join(side, docs.doc_id == side.id, "left_semi").select("doc_id", "text")
-    sets = stored(texts.mapInArrow(_set_maker(words), "node long, grams array<long>"), "sets").dropDuplicates(["node"])
+    sets = stored(texts.mapInArrow(_set_maker(words), "node long, grams array<long>").dropDuplicates(["node"]), "sets")
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
     shared = F.size(F.array_intersect("ga", "gb"))

@@ -1,14 +1,286 @@
-"""Registry of the engine's own queries and their SQL oracles."""
+"""Registry of the engine's own queries and their SQL oracles.
+
+Driver tables stand in for web records: ``documents`` has no URL, its line is
+``doc_id`` and its shard is ``source``; ``benchmark`` is the evaluation set.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quernel.functions import quality as Q
+from quernel.functions import text as T
+from quernel.operators import corpus, dataset, near, sampling, tokens, validate
+from quernel.plans.oracles import ORACLES
+from quernel.session import load
+
+#: Categories' weights, budgets and sizes that the sample queries use.
+WEIGHTS = {"en": 4.0, "fr": 2.0, "de": 1.0}
+CONTEXT, SHARD = 2048, 1_000_000
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.prepared(load(spark, d, "documents"))
+
+
+def _native(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with line feeds only: the tables are in NFC (normalize_text checks that)."""
+    docs = load(spark, d, "documents").withColumn("text", T.line_feeds(F.col("text")))
+    return corpus.prepared(docs, normalized=True)
+
+
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.reasons(_native(spark, d), load(spark, d, "benchmark"))
+
+
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    docs = _native(spark, d)
+    return docs.select(
+        "doc_id", "source", F.col("lang").alias("category"), F.col("doc_id").cast("string").alias("document_id"), F.concat(F.lit("g"), F.floor(F.col("doc_id") / 3).cast("string")).alias("split_group"),
+        F.length("text").cast("long").alias("n_chars"), F.octet_length("text").cast("long").alias("n_bytes"), (F.octet_length("text") + 2).cast("long").alias("n_tokens"),
+    )
+
+
+def normalize_text(s, d):
+    raw = load(s, d, "documents")
+    return raw.select("doc_id", T.sha256_hex(T.normalize_text(F.col("text"))).alias("sha"))
+
+
+def fingerprint_ids(s, d):
+    return _native(s, d).select("doc_id", F.col("sha").alias("text_sha256"), T.document_id(F.col("text")).alias("document_id"))
+
+
+def split_group_pages(s, d):
+    return load(s, d, "pages").select("page_id", T.split_group(F.col("url"), F.lit("none")).alias("split_group"))
+
+
+def primary_language_counts(s, d):
+    return load(s, d, "documents").groupBy(T.primary_language(F.col("lang")).alias("language")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+def doc_metrics(s, d):
+    m = _native(s, d).select("doc_id", Q.metrics(F.col("text"), T.lower_fold).alias("m"))
+    return m.select("doc_id", *[F.round(F.col(f"m.{n}"), 9).alias(n) if n.endswith("ratio") or n == "mean_line_length" else F.col(f"m.{n}") for n in Q.METRICS])
+
+
+def script_metrics(s, d):
+    m = _native(s, d).select("doc_id", Q.scripts(F.col("text")).alias("s"))
+    return m.select("doc_id", "s.alphabetic_characters", "s.latin_characters", F.round("s.latin_share", 9).alias("latin_share"), Q.script_mismatch(F.col("s")).alias("mismatch"))
+
+
+def secret_hits(s, d):
+    return _native(s, d).select("doc_id", Q.secret(F.col("text")).alias("secret")).where("secret IS NOT NULL")
+
+
+def special_token_texts(s, d):
+    rows = load(s, d, "conversations")
+    return rows.select("conv_id", "turn", T.has_special(F.col("text")).alias("has_special"), T.has_both_marks(F.col("text")).alias("has_both_marks"), T.count_specials(F.col("text")).alias("n_special"))
+
+
+def quality_reason(s, d):
+    m = _native(s, d).select("doc_id", "text", Q.metrics(F.col("text"), T.lower_fold).alias("m"))
+    return m.select("doc_id", F.coalesce(Q.quality_reason(F.col("text"), F.col("m")), F.lit("accepted")).alias("reason"))
+
+
+def corpus_funnel(s, d):
+    return corpus.funnel(_judged(s, d))
+
+
+def acceptance_rate(s, d):
+    return _judged(s, d).agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("reason").isNull()).alias("accepted"), F.round(F.coalesce(F.try_divide(F.count_if(F.col("reason").isNull()), F.count(F.lit(1))), F.lit(0.0)), 9).alias("rate"))
+
+
+def rejected_samples(s, d):
+    return corpus.rejected_samples(_judged(s, d)).drop("excerpt")
+
+
+def exact_dedup_keep_first(s, d):
+    return corpus.keep_first(_native(s, d)).select("doc_id", "first_id", (F.col("doc_id") == F.col("first_id")).alias("kept"))
+
+
+def duplicate_ratio(s, d):
+    docs = _native(s, d)
+    return docs.groupBy("sha").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("documents"), F.count(F.lit(1)).alias("distinct_texts"), F.round(1 - F.count(F.lit(1)) / F.sum("n"), 9).alias("ratio"))
+
+
+def dedup_anti_join(s, d):
+    docs = _native(s, d)
+    return corpus.unseen(docs, docs.where("source = 'src0'")).select("doc_id", "sha")
+
+
+def comparison_token_count(s, d):
+    t = _native(s, d).select("doc_id", T.comparison_tokens(F.col("text"), exact=False).alias("t"))
+    return t.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(F.array_distinct(T.gram_keys(F.col("t"), 8))).cast("long").alias("n_shingles"))
+
+
+def _near(s, d):
+    feats = near.features(_native(s, d))
+    sets = near.classes(feats)
+    return feats, sets, near.links(sets, near.prefix_candidates(sets))
+
+
+def near_dup_links(s, d):
+    return _near(s, d)[2].select("a", "b", "shared", F.round("similarity", 9).alias("similarity"), "safe")
+
+
+def near_dup_audit(s, d):
+    return near.audit(*_near(s, d))
+
+
+def near_dup_lsh(s, d):
+    sets = near.classes(near.features(_native(s, d)))
+    return near.links(sets, near.lsh_candidates(sets))
+
+
+def minhash_signature(s, d):
+    return near.features(_native(s, d)).select("doc_id", near.signature(F.col("grams")).alias("signature"))
+
+
+def decon_exact(s, d):
+    return corpus.exact_items(_native(s, d), load(s, d, "benchmark"), min_tokens=1)
+
+
+def decon_containment_50(s, d):
+    return corpus.contained(_native(s, d), load(s, d, "benchmark"))
+
+
+def decon_containment_20(s, d):
+    return corpus.contained(_native(s, d), load(s, d, "benchmark"), min_tokens=20)
+
+
+def decon_best(s, d):
+    best = corpus.best_verdict(_native(s, d), load(s, d, "benchmark"), min_tokens=20)
+    return best.withColumn("containment", F.round("containment", 9))
+
+
+def eval_ngram_overlap(s, d):
+    return corpus.ngram_overlap(load(s, d, "benchmark"), load(s, d, "documents")).select("item_id", "n_grams", "hits", (F.col("hits") / F.col("n_grams") >= 0.1).alias("rejected"))
+
+
+def split_plan(s, d):
+    return dataset.split_plan(_sized(s, d), 0.05)
+
+
+def split_summary(s, d):
+    docs = _sized(s, d)
+    return dataset.summary(dataset.assign(docs, dataset.split_plan(docs, 0.05)))
+
+
+def pack_offsets(s, d):
+    return dataset.offsets(_sized(s, d), "doc_id", "n_tokens").select("doc_id", "n_tokens", "token_start")
+
+
+def window_index(s, d):
+    parts = dataset.window_parts(dataset.offsets(_sized(s, d), "doc_id", "n_tokens"), CONTEXT)
+    return parts.groupBy("window_id").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("part_to") - F.col("part_from") + 1).cast("long").alias("n_tokens"))
+
+
+def shard_ranges(s, d):
+    docs = _sized(s, d)
+    totals = dataset.assign(docs, dataset.split_plan(docs, 0.05)).groupBy("split").agg(F.sum("n_tokens").alias("total_tokens"))
+    return dataset.shard_ranges(totals, SHARD)
+
+
+def shard_contiguity(s, d):
+    return validate.shard_checks(shard_ranges(s, d))
+
+
+def byte_pair_counts(s, d):
+    return tokens.byte_pair_counts(_native(s, d))
+
+
+def _tokenizer(s, d):
+    """A small vocabulary from the evaluation set, which is a bounded table."""
+    rows = load(s, d, "benchmark").orderBy("item_id").select("text").toLocalIterator()
+    return tokens.Tokenizer.train([r.text for r in rows if r.text], 512)
+
+
+def bpe_merges(s, d):
+    t = _tokenizer(s, d)
+    return s.createDataFrame([(i, a, b) for i, (a, b) in enumerate(t.merges)], "rank long, left_id long, right_id long")
+
+
+def bpe_roundtrip(s, d):
+    t = _tokenizer(s, d)
+    rows = load(s, d, "conversations").withColumn("ids", tokens.encoder(s, t)("text"))
+    return rows.select("conv_id", "turn", F.size("ids").alias("n_ids"), tokens.well_framed(F.col("ids"), t).alias("framed"), (tokens.decoder(s, t)("ids") == F.col("text")).alias("same"))
+
+
+def token_usage(s, d):
+    t = _tokenizer(s, d)
+    return tokens.usage(load(s, d, "conversations").select(tokens.encoder(s, t)("text").alias("ids")), t)
+
+
+def category_distribution(s, d):
+    return sampling.distribution(_sized(s, d)).select("category", "documents", "utf8_bytes", F.round("document_fraction", 9).alias("document_fraction"), F.round("byte_fraction", 9).alias("byte_fraction"))
+
+
+def source_contribution(s, d):
+    return sampling.contribution(_sized(s, d)).withColumn("share", F.round("share", 9))
+
+
+def chunk_documents(s, d):
+    pieces = sampling.chunks(_native(s, d).select("doc_id", "text"), 600, 900, 100)
+    return pieces.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("text")).alias("characters"), F.max(F.length("text")).alias("longest"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct(F.coalesce("chunk", F.lit(0)).alias("k"), "text")))["text"], ""), 256).alias("sha"))
+
+
+def _pieces(s, d):
+    pieces = sampling.chunks(_native(s, d).select("doc_id", "text"), 600, 900, 100)
+    return pieces.select(F.col("doc_id").alias("source"), F.coalesce("chunk", F.lit(0)).cast("long").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"))
+
+
+def source_cap(s, d):
+    return sampling.cap_sources(_pieces(s, d), 2000)
+
+
+def source_cap_keep_first(s, d):
+    return sampling.cap_sources(_pieces(s, d), 500, keep_first=True)
+
+
+def weighted_pass(s, d):
+    docs = _sized(s, d).select("category", "doc_id", "n_bytes")
+    shares = sampling.normal_weights(WEIGHTS, ["de", "en", "es", "fr"])
+    return sampling.quota_pass(docs, s.createDataFrame(sorted(shares.items()), "category string, share double"), 500_000)
+
+
+def corpus_validator(s, d):
+    return validate.corpus_checks(corpus.clean_records(_judged(s, d)), normalized=True)
+
+
+def framing_validator(s, d):
+    """Byte tokens of conversations as one stream: 256 starts and 257 ends a text."""
+    texts = load(s, d, "conversations").select((F.col("conv_id") * 64 + F.col("turn")).alias("place"), (F.octet_length("text") + 2).cast("long").alias("n"), F.encode("text", "UTF-8").alias("b"))
+    placed = dataset.offsets(texts, "place", "n")
+    codes = F.transform(F.regexp_extract_all(F.hex("b"), F.lit("[0-9A-F]{2}"), F.lit(0)), lambda h: F.conv(h, 16, 10).cast("int"))
+    ids = F.concat(F.array(F.lit(256)), codes, F.array(F.lit(257)))
+    stream = placed.select("token_start", F.posexplode(ids).alias("k", "token")).select((F.col("token_start") + F.col("k")).alias("position"), "token")
+    return validate.stream_checks(stream, 258, 256, 257, 2)
+
+
+def lr_schedule(s, d):
+    steps = s.range(0, 1000).select(F.col("id").alias("step"))
+    return steps.select("step", F.round(dataset.learning_rate(F.col("step"), 6e-4, 6e-5, 100, 1000), 12).alias("rate"))
+
+
+def resumable_build(s, d):
+    from quernel.streaming import resumable
+
+    return resumable.demo(s, load(s, d, "documents"), load(s, d, "benchmark"))
+
+
+_ALL = [
+    normalize_text, fingerprint_ids, split_group_pages, primary_language_counts, doc_metrics, script_metrics, secret_hits, special_token_texts, quality_reason,
+    corpus_funnel, acceptance_rate, rejected_samples, exact_dedup_keep_first, duplicate_ratio, dedup_anti_join, comparison_token_count, near_dup_links, near_dup_audit,
+    near_dup_lsh, minhash_signature, decon_exact, decon_containment_50, decon_containment_20, decon_best, eval_ngram_overlap, split_plan, split_summary, pack_offsets,
+    window_index, shard_ranges, shard_contiguity, byte_pair_counts, bpe_merges, bpe_roundtrip, token_usage, category_distribution, source_contribution, chunk_documents,
+    source_cap, source_cap_keep_first, weighted_pass, corpus_validator, framing_validator, lr_schedule, resumable_build,
+]
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLES)
+    return {k: v for k, v in ORACLES.items() if k in queries()}

@@ -1,4 +1,4 @@
-"""Connected components of link tables by label propagation with pointer jumps."""
+"""Connected components of link tables by contraction."""
 
 from __future__ import annotations
 
@@ -11,23 +11,34 @@ from quernel.session import stored
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` reaches.
 
-    ``edges`` has the columns ``a`` and ``b``. Every round takes the smallest
-    label among a node's neighbours, then the label of its label, so paths
-    shorten by half or more. Rounds end when nothing changes; what a round
-    leaves is a written table, and only a count comes to the driver. A hub's
-    links are combined on the map side; the joins leave skewed keys to the
-    adaptive planner, which splits them.
+    ``edges`` has the columns ``a`` and ``b``. In every round each node takes
+    the smallest of its neighbours and itself, then that one's choice; links
+    are carried over to the chosen nodes, and those inside one node go. A star
+    is done after one round, a path loses at least half of its nodes in each.
+    What a round leaves is a written table, and only the question whether a
+    link is left comes to the driver. A hub's links are combined on the map
+    side; joins read written tables, so the adaptive planner can split a hub.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.where("a <> b").distinct(), "links")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label"))
-    labels = stored(labels, "labels")
+    links = stored(_between(edges), "links")
+    labels = None
     while True:
-        offers = both.join(labels, both.a == labels.node).groupBy(F.col("b").alias("at")).agg(F.min("label").alias("offer"))
-        lower = labels.join(offers, labels.node == offers["at"], "left").select("node", F.col("label").alias("old"), F.least("label", "offer").alias("label"))
-        roots = labels.select(F.col("node").alias("root"), F.col("label").alias("jump"))
-        jumped = lower.join(roots, lower.label == roots.root, "left").select("node", "old", F.least("label", "jump").alias("label"))
-        following = stored(jumped, "labels")
-        if following.where("old <> label").limit(1).count() == 0:
-            return following.select("node", "label")
-        labels = following.select("node", "label")
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("to")), "nearest")
+        after = near.select(F.col("node").alias("middle"), F.col("to").alias("end"))
+        chosen = stored(near.join(after, near["to"] == after.middle).select("node", F.col("end").alias("to")), "chosen")
+        if labels is None:
+            labels = chosen.select("node", F.col("to").alias("label"))
+        else:
+            moved = chosen.select(F.col("node").alias("from"), "to")
+            labels = stored(labels.join(moved, labels.label == F.col("from"), "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        at_a = chosen.select(F.col("node").alias("a"), F.col("to").alias("new_a"))
+        at_b = chosen.select(F.col("node").alias("b"), F.col("to").alias("new_b"))
+        carried = links.join(at_a, "a").join(at_b, "b").select(F.col("new_a").alias("a"), F.col("new_b").alias("b"))
+        links = stored(_between(carried), "links")
+        if links.limit(1).count() == 0:
+            return labels
+
+
+def _between(edges: DataFrame) -> DataFrame:
+    """Links between different nodes, each once."""
+    return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from quernel.functions import quality as Q
 from quernel.functions import text as T
+from quernel.session import stored
 
 #: Shingles of an evaluation set up to which it is broadcast (8 bytes each and
 #: an item number); a larger one is joined by a shuffle.
@@ -87,31 +88,33 @@ def reasons(
     secrets: bool = True,
     min_tokens: int = 50,
 ) -> DataFrame:
-    """Adds ``reason`` to prepared documents: the first gate that each fails.
+    """(doc_id, source, lang, sha, m, excerpt, reason): the first gate that each fails.
 
     Row gates come first (language, script, quality, secrets), then
     contamination, then duplication: a fingerprint counts as seen only once
     its document is accepted, so each copy of a contaminated text is
     contaminated and never a duplicate.
     """
-    m = docs.withColumn("m", Q.metrics(F.col("text"), T.lower_fold)).withColumn("s", Q.scripts(F.col("text")))
+    m = docs.select("doc_id", "lang", "source", "sha", "text", Q.metrics(F.col("text"), T.lower_fold).alias("m"), Q.scripts(F.col("text")).alias("s"))
     gates = []
     if language:
         gates.append(F.when(F.coalesce(T.primary_language(F.col("lang")), F.lit("")) != language, F.lit("non_english")))
     if script_rules:
         gates.append(F.when(Q.script_mismatch(F.col("s"), script_rules), F.lit("language_script_mismatch")))
     gates.append(Q.quality_reason(F.col("text"), F.col("m"), rules, secrets))
-    judged = m.withColumn("row_reason", F.coalesce(*gates))
-    passed = judged.where("row_reason IS NULL")
-    firsts = passed.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    out = judged.join(firsts, "sha", "left")
+    # one scan of the texts; the set operations below read these narrow rows
+    judged = stored(m.select("doc_id", "source", "lang", "sha", "m", F.substring("text", 1, 300).alias("excerpt"), F.coalesce(*gates).alias("row_reason")), "row-reasons")
+    firsts = judged.where("row_reason IS NULL").groupBy(F.col("sha").alias("first_sha")).agg(F.min("doc_id").alias("first_id"))
+    out = judged.join(firsts, F.col("sha") == F.col("first_sha"), "left")
     if items is not None:
-        best = best_verdict(passed, items, min_tokens=min_tokens).select("doc_id", F.concat(F.lit("evaluation_contamination_"), F.when(F.col("reason") == "exact_match", "exact").otherwise("containment")).alias("leak"))
-        out = out.join(best, "doc_id", "left")
+        best = best_verdict(docs, items, min_tokens=min_tokens)
+        best = best.select(F.col("doc_id").alias("leak_id"), F.concat(F.lit("evaluation_contamination_"), F.when(F.col("reason") == "exact_match", "exact").otherwise("containment")).alias("leak"))
+        out = out.join(best, F.col("doc_id") == F.col("leak_id"), "left")
     else:
         out = out.withColumn("leak", F.lit(None).cast("string"))
     again = F.when(F.col("doc_id") != F.col("first_id"), F.lit("exact_duplicate"))
-    return out.withColumn("reason", F.when(F.col("row_reason").isNotNull(), F.col("row_reason")).otherwise(F.coalesce("leak", again)))
+    reason = F.when(F.col("row_reason").isNotNull(), F.col("row_reason")).otherwise(F.coalesce("leak", again))
+    return out.select("doc_id", "source", "lang", "sha", "m", "excerpt", reason.alias("reason"))
 
 
 def funnel(judged: DataFrame) -> DataFrame:
@@ -126,14 +129,15 @@ def rejected_samples(judged: DataFrame, keep: int = 50) -> DataFrame:
     quota = max(keep // 10, 1)
     order = Window.partitionBy("reason").orderBy("source", "doc_id")
     rows = judged.where("reason IS NOT NULL AND reason <> 'exact_duplicate'")
-    rows = rows.select("reason", "source", "doc_id", F.col("m.characters").alias("characters"), F.substring("text", 1, 300).alias("excerpt"), F.row_number().over(order).alias("k"))
+    rows = rows.select("reason", "source", "doc_id", F.col("m.characters").alias("characters"), "excerpt", F.row_number().over(order).alias("k"))
     return rows.where(F.col("k") <= quota).drop("k")
 
 
-def clean_records(judged: DataFrame) -> DataFrame:
+def clean_records(docs: DataFrame, judged: DataFrame) -> DataFrame:
     """Accepted documents as nine-column clean records."""
     made = T.document_id(F.col("text"))
-    return judged.where("reason IS NULL").select(
+    kept = judged.where("reason IS NULL").select(F.col("doc_id").alias("kept_id"))
+    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").select(
         made.alias("document_id"),
         "text",
         F.lit(None).cast("string").alias("url"),

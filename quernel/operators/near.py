@@ -24,8 +24,8 @@ def features(docs: DataFrame, size: int = 8, min_tokens: int = 50) -> DataFrame:
 def classes(feats: DataFrame) -> DataFrame:
     """(rep, n_tokens, n, grams, set) of distinct shingle sets; rep is the smallest id."""
     keyed = feats.withColumn("set", F.sha2(F.array_join(F.transform("grams", lambda x: x.cast("string")), ","), 256))
-    reps = keyed.groupBy("set").agg(F.min("doc_id").alias("rep"))
-    return keyed.join(reps, (keyed["set"] == reps["set"]) & (keyed.doc_id == reps.rep)).select("rep", "n_tokens", F.size("grams").alias("n"), "grams", keyed["set"])
+    reps = keyed.groupBy(F.col("set").alias("rep_set")).agg(F.min("doc_id").alias("rep"))
+    return keyed.join(reps, (F.col("set") == F.col("rep_set")) & (F.col("doc_id") == F.col("rep"))).select("rep", "n_tokens", F.size("grams").alias("n"), "grams", "set")
 
 
 def signature(grams: Column, components: int = 8) -> Column:
@@ -76,9 +76,9 @@ def links(sets: DataFrame, candidates: DataFrame, similarity: float = 0.9, ratio
 def audit(feats: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, near, safe): whether an earlier document is near, and safely so."""
     member = feats.withColumn("set", F.sha2(F.array_join(F.transform("grams", lambda x: x.cast("string")), ","), 256)).select("doc_id", "set")
-    member = member.join(sets.select("set", "rep"), "set")
+    member = member.join(sets.select(F.col("set").alias("rep_set"), "rep"), F.col("set") == F.col("rep_set"))
     both = found.select("a", "b", "safe").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "safe"))
     first = both.groupBy("a").agg(F.min("b").alias("any_first"), F.min(F.when(F.col("safe"), F.col("b"))).alias("safe_first"))
-    joined = member.join(first, member.rep == first.a, "left")
+    joined = member.join(first, F.col("rep") == F.col("a"), "left")
     copy = F.col("doc_id") > F.col("rep")
     return joined.select("doc_id", (copy | F.coalesce(F.col("any_first") < F.col("doc_id"), F.lit(False))).alias("near"), (copy | F.coalesce(F.col("safe_first") < F.col("doc_id"), F.lit(False))).alias("safe"))

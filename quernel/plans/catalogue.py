@@ -245,7 +245,7 @@ def weighted_pass(s, d):
 
 
 def corpus_validator(s, d):
-    return validate.corpus_checks(corpus.clean_records(_judged(s, d)), normalized=True)
+    return validate.corpus_checks(corpus.clean_records(_native(s, d), _judged(s, d)), normalized=True)
 
 
 def framing_validator(s, d):

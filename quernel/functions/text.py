@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: White space as Python's str.isspace() has it, for Java's regex engine.
 BLANK = r"(?U)[\s\x1c-\x1f]"
 TRIM = rf"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"

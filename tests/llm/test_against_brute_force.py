@@ -101,6 +101,16 @@ def test_language_model(spark):
         assert r.score == pytest.approx(model.score(t), abs=1e-6)
 
 
+def test_language_model_keeps_rare_grams_of_a_large_corpus(spark):
+    """A share that only hot keys reach: every n-gram that occurs twice is in the model all the same."""
+    texts = random_texts(150, random.Random(3))
+    model = brute.Backoff(texts, share=0)
+    frame = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    found = {r.doc_id: r for r in lm_score.score(frame, *lm_score.train(frame, share=0.005)).collect()}
+    for i, t in enumerate(texts):
+        assert found[i].score == pytest.approx(model.score(t), abs=1e-6)
+
+
 def test_language_model_sums_to_one():
     model = brute.Backoff(random_texts(60, random.Random(4), vocabulary=30))
     for context in [(), *list(model.kept)[:40]]:

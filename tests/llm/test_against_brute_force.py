@@ -189,6 +189,15 @@ def test_substring_passages(spark):
         assert len(found[i] & wanted) >= 0.9 * len(wanted) and not found[i] - wanted, i
 
 
+@pytest.mark.parametrize(("n", "between"), [(60, 60), (60, 200), (50, 100), (100, 200)])
+def test_two_passages_of_one_pair_are_reported(spark, n, between):
+    """Two exact passages in the same order, with foreign text between them."""
+    one, two = ([f"{k}x{i}" for i in range(n)] for k in "pq")
+    rows = [(i, " ".join([*one, *[f"{i}z{k}" for k in range(between)], *two])) for i in range(2)]
+    found = sorted(tuple(r)[:3] for r in substring_dedup.query(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(i, a, a + n) for i in range(2) for a in (0, n + between)]
+
+
 def test_overlapping_runs_are_reported(spark):
     """Brute force: runs of 50 words that two documents share, where every document cuts them elsewhere.
 

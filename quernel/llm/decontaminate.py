@@ -40,10 +40,13 @@ _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCHEMA = "key long, doc_id long, n_words long, spans array<struct<first:int,past:int>>, chars array<struct<start:int,end:int>>, items array<string>"
 
 
-def patterns(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(pattern, items): distinct runs of words and the ids that hold them."""
+def patterns(benchmark: DataFrame, window: int = WINDOW, short: bool = True) -> DataFrame:
+    """(pattern, items): distinct runs of words and the ids that hold them.
+
+    Without ``short``, items of fewer words than a window have no pattern.
+    """
     words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(ALNUM_WORD), F.lit(0))
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words.alias("w")).where(F.size("w") > 0)
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words.alias("w")).where(F.size("w") >= (1 if short else window))
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
     runs = rows.select("item", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(window)), " "))).alias("pattern"))
     return runs.groupBy("pattern").agg(F.array_sort(F.collect_set("item")).alias("items"))
@@ -115,7 +118,7 @@ def _scanner(shared, name: str, spans_in_text: bool) -> Callable:
     return scan
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int = SHARD, spans_in_text: bool = True) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int = SHARD, spans_in_text: bool = True, short: bool = True) -> DataFrame:
     """For each row of ``docs``: words, hit words, item ids, and where.
 
     ``spans`` are word ranges, ``chars`` the same ranges in code points of the
@@ -123,7 +126,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int
     """
     spark = docs.sparkSession
     K.small_batches(spark)
-    runs = patterns(benchmark, window)
+    runs = patterns(benchmark, window, short)
     shards = max(1, -(-runs.count() // shard))
     rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     passes = []
@@ -145,9 +148,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a window of any item."""
+    """``docs`` without the documents that hold a full window of any item.
+
+    A shorter item, such as an answer of one word, says nothing of a leak.
+    """
     (key,) = fresh(docs, "leak_key")
-    leaks = scan(docs, benchmark, window, spans_in_text=False).where(F.size("items") > 0).select(F.col("key").alias(key)).distinct()
+    leaks = scan(docs, benchmark, window, spans_in_text=False, short=False).where(F.size("items") > 0).select(F.col("key").alias(key)).distinct()
     return docs.withColumn(key, row_key("doc_id", "text")).join(leaks, key, "left_anti").select(*docs.columns)
 
 

@@ -249,6 +249,13 @@ def test_decontamination_offsets(spark):
     assert split["items"] == row["items"] and split.n_hit == row.n_hit
 
 
+def test_short_items_remove_no_documents(spark):
+    bench = spark.createDataFrame([(1, "yes"), (2, "one two three four five six seven eight"), (3, "one two three four five six seven")], "item_id long, text string")
+    rows = [(1, "the answer is yes"), (2, "Zero one two three four five six seven eight nine"), (3, "one two three four five six seven ate")]
+    left = decontaminate.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
 def test_pipeline(spark):
     """The whole pipeline against five brute-force stages."""
     docs = [tuple(r) for r in load(spark, TABLES, "documents").select("doc_id", "text", "source").collect()]

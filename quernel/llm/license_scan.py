@@ -1,7 +1,9 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line; a template is the word set of a license notice. A block
-matches a template if it holds at least ``THRESHOLD`` of the template's words.
+A block is a line or, for templates of at least ``LONG`` words, a run of ``RUN``
+neighbouring lines without those longer than ``WRAPPED`` characters, as long
+notices are often wrapped; a template is the word set of a license notice. A
+block matches a template if it holds at least ``THRESHOLD`` of the template's words.
 All such pairs are found, with the usual exact filters:
 
 * tokens are ordered by how many documents of the whole table hold them, rare
@@ -44,9 +46,16 @@ TEMPLATES = (
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license cc by nc"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike license cc by sa"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    # short forms: all words of at most four are needed at this threshold
+    ("gpl", "gnu general public license"),
+    ("lgpl", "lesser general public license"),
+    ("mpl-2", "mozilla public license"),
+    ("proprietary", "all rights reserved"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced without prior written permission"),
 )
 THRESHOLD = 0.8
+#: Lines of a run, the longest line in one, and the fewest words of a template that may be wrapped.
+RUN, WRAPPED, LONG = 4, 100, 12
 _VOCABULARY = sorted({w for _, t in TEMPLATES for w in t.split()})
 
 
@@ -57,19 +66,37 @@ def _token_set(line: Column) -> Column:
     return F.array_intersect(F.array(*[F.lit(w) for w in _VOCABULARY]), F.transform(short, F.lower))
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """(key, tokens) of each line that holds at least two known words.
+def blocks(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, tokens, run) of each block that can match: lines, and runs of lines.
 
-    No template needs fewer than two words, so no match is lost here.
+    No template needs fewer than two words, so no match is lost here. Runs are
+    formed only in texts that as a whole hold enough of a long template.
     """
-    lines = docs.select(row_key("doc_id", "text").alias("key"), F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    return lines.select("key", _token_set(F.col("line")).alias("tokens")).where(F.size("tokens") >= 2)
+    rows = docs.select(row_key("doc_id", "text").alias("key"), "text")
+    lines = rows.select("key", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+    lines = lines.select("key", _token_set(F.col("line")).alias("tokens"), F.lit(False).alias("run")).where(F.size("tokens") >= 2)
+    long = [x for x in (sorted(set(t.split())) for _, t in TEMPLATES) if len(x) >= LONG]
+    least = _need(LONG, threshold)
+
+    def enough(known: Column) -> Column:
+        return F.array_max(F.array(*[F.size(F.array_intersect(F.array(*[F.lit(w) for w in x]), known)) >= _need(len(x), threshold) for x in long]))
+
+    def runs(sets: Column) -> Column:
+        return F.transform(sets, lambda x, i: F.array_distinct(F.flatten(F.slice(sets, i + 1, F.lit(RUN)))))
+
+    wrapped = F.transform(F.split("text", "\n"), lambda x: F.when(F.length(x) <= WRAPPED, _token_set(x)).otherwise(F.array().cast("array<string>")))
+    joined = rows.where(let(_token_set(F.col("text")), enough)).select("key", F.explode(let(wrapped, runs)).alias("tokens"), F.lit(True).alias("run"))
+    return lines.unionByName(joined.where(F.size("tokens") >= least))
+
+
+def _need(n: int, threshold: float) -> int:
+    return -int(-threshold * n // 1)
 
 
 def matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(key, label, containment): every block and template over the threshold."""
     spark = docs.sparkSession
-    found = stored(blocks(docs), "license-blocks")
+    found = stored(blocks(docs, threshold), "license-blocks")
     counts = found.select(F.explode("tokens").alias("token")).groupBy("token").count()
     known = spark.createDataFrame([(w,) for w in _VOCABULARY], "token string")
     ranks = known.join(counts, "token", "left").select("token", F.coalesce("count", F.lit(0)).alias("n"))
@@ -79,13 +106,13 @@ def matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = []
     for number, (label, text) in enumerate(TEMPLATES):
         tokens = sorted(set(text.split()), key=place.__getitem__)
-        need = -int(-threshold * len(tokens) // 1)
+        need = _need(len(tokens), threshold)
         rows += [(tokens[i], number, label, tokens, len(tokens), need, i) for i in range(len(tokens) - need + 1)]
     prefixes = spark.createDataFrame(rows, "token string, template int, label string, words array<string>, n_words int, need int, at int")
-    ordered = found.select("key", F.array_intersect(F.array(*[F.lit(w) for w in order]), "tokens").alias("tokens"))
-    probes = ordered.select("key", "tokens", F.posexplode("tokens").alias("place", "token"))
+    ordered = found.select("key", "run", F.array_intersect(F.array(*[F.lit(w) for w in order]), "tokens").alias("tokens"))
+    probes = ordered.select("key", "run", "tokens", F.posexplode("tokens").alias("place", "token"))
     pairs = probes.join(F.broadcast(prefixes), "token").where(
-        (F.size("tokens") >= F.col("need")) & (1 + F.least(F.col("n_words") - F.col("at") - 1, F.size("tokens") - F.col("place") - 1) >= F.col("need"))
+        (F.size("tokens") >= F.col("need")) & (~F.col("run") | (F.col("n_words") >= LONG)) & (1 + F.least(F.col("n_words") - F.col("at") - 1, F.size("tokens") - F.col("place") - 1) >= F.col("need"))
     )
     # the first common token decides, so that each pair is verified once
     common = F.array_intersect("words", "tokens")

@@ -288,6 +288,13 @@ def test_frequent_lines(spark):
     assert {(r.doc_id, r.text) for r in quality_rules.clean(frame).collect()} == {(i, t) for i, t, _ in brute.quality_clean(rows)}
 
 
+def test_short_and_wrapped_notices_match(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining\n * a copy of this software and associated documentation\n * files (the Software)"
+    rows = [(1, "This work is licensed under the GNU General Public License, version 3."), (2, "x\nAll rights reserved.\ny"), (3, grant), (4, "general license, no rights")]
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: ("gpl", 1.0), 2: ("proprietary", 1.0), 3: ("mit", 1.0), 4: ("", 0.0)}
+
+
 def test_license_containment(spark):
     """All pairs of blocks and templates, without any filter."""
     rng, rows = random.Random(6), []

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,38 +33,66 @@ def build_session(app: str = "quernel", cpus: str | int = "*", partitions: int =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set."""
+    """The shared folder of the cluster; a temporary one only for a local master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="quernel-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    if not current.isDefined():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quernel-"))
+        current = sc._jsc.sc().getCheckpointDir()
+    return current.get().rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint; for narrow rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def setting(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as double underscores) for one block, then what was before."""
+    names = {k: k.replace("__", ".") for k in values}
+    before = {n: spark.conf.get(n, None) for n in names.values()}
+    for k, n in names.items():
+        spark.conf.set(n, values[k])
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            if value is None:
+                spark.conf.unset(n)
+            else:
+                spark.conf.set(n, value)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
-    The table goes when the driver's JVM ends. Use it for wide or large
-    intermediates that several jobs read: a lost executor then costs a reread,
-    not a recomputation.
+    The table goes when the driver's JVM ends, or with ``forget``. Use it for
+    wide or large intermediates that several jobs read: a lost executor then
+    costs a reread, not a recomputation. The shuffle files of the write go at
+    its end, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    with setting(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
+    place, system = _hadoop(spark, path)
+    system.deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that no later plan reads."""
+    for table in tables:
+        place, system = _hadoop(table.sparkSession, table._stored_at)
+        system.delete(place, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,9 +18,9 @@ texts are never shuffled.
 
 Defined cases: a null text has size 0 and is never taken; null sources are one
 source, last in the order of weights; sources without words have target 0;
-equal keys (repeated ids) are ordered by the text's hash; an empty table gives
-an empty mix; other columns are ignored by ``plan`` and passed through by
-``mix``.
+equal keys (repeated ids) are ordered by the text's hash, and equal rows by a
+number of their own, so each counts for itself; an empty table gives an empty
+mix; other columns are ignored by ``plan`` and passed through by ``mix``.
 """
 
 from __future__ import annotations
@@ -90,7 +90,8 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
         count_words(F.col("text")).alias("size"),
         (-F.log(_uniform(F.col("doc_id"))) / quality(F.col("text"))).alias("draw"),
     )
-    rows = stored(rows, "mix-rows")  # the only pass over texts; all that follows reads these narrow rows
+    # the only pass over texts; all that follows reads these narrow rows, whose numbers are fixed by writing them
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"), F.avg("draw").alias("mean_draw"))
     aims = targets(totals.select("source", "source_size"), weights, share, most)
     extra = totals.select(F.col("source").alias("s1"), "n", "mean_draw").join(aims.withColumnRenamed("source", "s2"), F.col("s1").eqNullSafe(F.col("s2")))
@@ -105,7 +106,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
         F.floor((1.0 - F.exp(-F.col("draw") / F.col("mean_draw"))) * buckets).cast("long").alias("bucket"),
     ).drop("n", "mean_draw")
     placed = placed.withColumn("budget", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-    order = ["draw", "doc_id", "key"]
+    order = ["draw", "doc_id", "key", "row"]
     placed = bucketed_prefix(placed, ["source"], "bucket", order, ["size"])
     placed = placed.withColumn("in_run", F.col("size_before") + F.col("size") <= F.col("budget")).drop("size_before")
     placed = stored(placed, "mix-run")
@@ -132,21 +133,33 @@ def _fill(df: DataFrame, run: str, order: Sequence[str]) -> DataFrame:
     rest = _spent(rest, "fits", "gap")
     # one more document if it ends closer to the target than stopping here
     near = rest.where(~F.col("fits") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
-    last = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("d"), F.col("draw"), F.col("key"))).alias("m"))
-    last = last.select(F.col("source").alias("s1"), F.col("m.key").alias("last_key"), F.lit(True).alias("is_last"))
-    out = rest.join(last, F.col("source").eqNullSafe(F.col("s1")) & (F.col("key") == F.col("last_key")), "left")
+    last = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("d"), "draw", "doc_id", "key", "row")).alias("m"))
+    # one row for each source; equal rows differ by their number
+    last = last.select(F.col("m.row").alias("last_row"), F.lit(True).alias("is_last"))
+    out = rest.join(last, F.col("row") == F.col("last_row"), "left")
     return out.withColumn("chosen", F.col("fits") | F.coalesce("is_last", F.lit(False)))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS) -> DataFrame:
-    """The documents of the mix, each as often as it is taken; columns of ``docs``."""
-    key, times, rows = fresh(docs, "mix_key", "mix_times", "mix_rows")
-    taken = plan(docs, weights, share, most).where("taken > 0")
-    # repeated rows share a key, and each of them brings its own number of copies
-    per = taken.groupBy("key").agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias(times), F.count(F.lit(1)).alias("rows"))
-    joined = docs.withColumn(key, row_key("doc_id", "source", "text")).join(per.withColumnRenamed("key", key).withColumnRenamed("rows", rows), key)
-    out = joined.where(F.col(rows) == 1).unionByName(joined.where(F.col(rows) > 1).dropDuplicates([key]))
-    return out.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times)))).select(*docs.columns)
+    """The documents of the mix, each as often as it is taken; columns of ``docs``.
+
+    Rows that repeat id, source and text share the copies that the plan takes
+    of them as evenly as it does, in the order of their other columns.
+    """
+    key, times, rows, here = fresh(docs, "mix_key", "mix_times", "mix_rows", "mix_here")
+    planned = plan(docs, weights, share, most).where("size > 0")
+    per = planned.groupBy("key").agg(F.sum(F.col("taken") / F.col("size")).cast("long").alias("t"), F.count(F.lit(1)).alias("r")).where("t > 0")
+    per = per.select(F.col("key").alias(key), F.col("t").alias(times), F.col("r").alias(rows))
+    joined = docs.withColumn(key, row_key("doc_id", "source", "text")).join(per, key)
+    once = joined.where(F.col(rows) == 1).select(*docs.columns, times)
+    # rows that are equal in all columns are one row with a number, so no group holds more rows than it has kinds
+    kinds = joined.where(F.col(rows) > 1).groupBy(key, times, rows, *docs.columns).agg(F.count(F.lit(1)).alias(here))
+    order = Window.partitionBy(key).orderBy(F.to_json(F.struct(*docs.columns)))
+    ahead = F.coalesce(F.sum(here).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    extra = F.greatest(F.lit(0), F.least(ahead + F.col(here), F.pmod(times, rows)) - ahead)
+    again = kinds.withColumn(times, F.col(here) * F.floor(F.col(times) / F.col(rows)) + extra).select(*docs.columns, times)
+    both = once.unionByName(again).where(F.col(times) > 0)
+    return both.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:

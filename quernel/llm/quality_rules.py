@@ -152,7 +152,7 @@ def clean(docs: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return assess(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "kept")
+    return assess(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
 ORACLE = r"""
@@ -177,7 +177,7 @@ m AS (SELECT d.doc_id, d.r, len(w)::BIGINT AS n_words, length(regexp_replace(coa
         coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_rep, 0)::BIGINT AS n_repeat_words, coalesce(removed_words, 0)::BIGINT AS removed_words
       FROM d JOIN words USING (r) LEFT JOIN dups USING (r) LEFT JOIN cov USING (r) LEFT JOIN removed USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, removed_words,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (n_words - removed_words) >= n_words * 0.3 AS kept
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (n_words - removed_words) >= n_words * 0.3 AS kept, removed_words
 FROM m
 """

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernel.llm import _kernels as K
-from quernel.llm._native import ALNUM_WORD, ascii_lower, fresh, row_key
+from quernel.llm._native import ALNUM_WORD, ascii_lower, row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -77,6 +77,22 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def _joined(raw) -> str:
+    """The words of a UTF-8 text with one space around each, as a latin-1 view."""
+    return (b" " + b" ".join(bytes(raw).translate(_TABLE).split()) + b" ").decode("latin-1")
+
+
+def _shards(spark, runs: DataFrame, shard: int) -> list[tuple]:
+    """(broadcast patterns, name) of sets of about ``shard`` patterns, one on the driver at a time."""
+    number = max(1, -(-runs.count() // shard))
+    out = []
+    for k in range(number):
+        part = runs.where(F.pmod(F.xxhash64("pattern"), F.lit(number)) == k)
+        shared = spark.sparkContext.broadcast([(r.pattern, list(r["items"])) for r in part.toLocalIterator()])
+        out.append((shared, f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"))
+    return out
+
+
 def _scanner(shared, name: str, spans_in_text: bool) -> Callable:
     def scan(batches):
         found = shared.value
@@ -85,10 +101,10 @@ def _scanner(shared, name: str, spans_in_text: bool) -> Callable:
             rows = []
             for key, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = text.as_buffer() if text.is_valid else None
-                words = bytes(raw).translate(_TABLE).split() if raw is not None else []
-                joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
+                joined = _joined(raw) if raw is not None else "  "
+                count = joined.count(" ") - 1 if len(joined) > 2 else 0
                 hits, items, at = [], set(), None
-                for end, (number, n, size) in machine.iter(joined) if found and words else ():
+                for end, (number, n, size) in machine.iter(joined) if found and count else ():
                     if at is None:
                         at = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32)
                     first = int(np.searchsorted(at, end - size + 1))
@@ -99,7 +115,7 @@ def _scanner(shared, name: str, spans_in_text: bool) -> Callable:
                 if spans and spans_in_text:
                     places = [m.span() for m in _WORDS.finditer(text.as_py())]
                     chars = [(places[a][0], places[b - 1][1]) for a, b in spans]
-                rows.append((key, doc_id, len(words), spans, chars, sorted(items)))
+                rows.append((key, doc_id, count, spans, chars, sorted(items)))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             pair = lambda a, b: pa.list_(pa.struct([(a, pa.int32()), (b, pa.int32())]))
             named = lambda xs, a, b: [[{a: p, b: q} for p, q in x] for x in xs]
@@ -126,17 +142,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int
     """
     spark = docs.sparkSession
     K.small_batches(spark)
-    runs = patterns(benchmark, window, short)
-    shards = max(1, -(-runs.count() // shard))
     rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = []
-    for number in range(shards):
-        part = runs.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == number)
-        found = [(r.pattern, list(r["items"])) for r in part.collect()]
-        shared = spark.sparkContext.broadcast(found)
-        passes.append(rows.mapInArrow(_scanner(shared, f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}", spans_in_text), SCHEMA))
+    passes = [rows.mapInArrow(_scanner(shared, name, spans_in_text), SCHEMA) for shared, name in _shards(spark, patterns(benchmark, window, short), shard)]
     out = passes[0]
-    if shards > 1:
+    if len(passes) > 1:
         for other in passes[1:]:
             out = out.unionByName(other)
         # repeated rows share a key and have equal results
@@ -147,14 +156,33 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int
     return out.select("key", "doc_id", "n_words", F.size(F.array_distinct(words)).cast("long").alias("n_hit"), F.array_sort("items").alias("items"), "spans", "chars")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def _filter(shared, name: str, place: int) -> Callable:
+    """Batches without the rows whose text holds a pattern."""
+
+    def clean(batches):
+        found = shared.value
+        machine = _automaton(found, name)
+        for batch in batches:
+            if found:
+                texts = batch.column(place)
+                batch = batch.filter(pa.array([not t.is_valid or next(machine.iter(_joined(t.as_buffer())), None) is None for t in texts], pa.bool_()))
+            yield batch
+
+    return clean
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """``docs`` without the documents that hold a full window of any item.
 
-    A shorter item, such as an answer of one word, says nothing of a leak.
+    A shorter item, such as an answer of one word, says nothing of a leak. The
+    scan itself drops the rows, so no text is shuffled; with several shards of
+    patterns it passes one automaton after the other.
     """
-    (key,) = fresh(docs, "leak_key")
-    leaks = scan(docs, benchmark, window, spans_in_text=False, short=False).where(F.size("items") > 0).select(F.col("key").alias(key)).distinct()
-    return docs.withColumn(key, row_key("doc_id", "text")).join(leaks, key, "left_anti").select(*docs.columns)
+    K.small_batches(docs.sparkSession)
+    out = docs
+    for shared, name in _shards(docs.sparkSession, patterns(benchmark, window, short=False), shard):
+        out = out.mapInArrow(_filter(shared, name, docs.columns.index("text")), docs.schema)
+    return out
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

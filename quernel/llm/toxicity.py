@@ -5,8 +5,10 @@ places; a feature's value is the square root of its frequency per thousand
 n-grams, so texts of any length compare. Each feature is scaled by its
 log-count ratio between the classes; a logistic regression on the scaled
 features is fitted on at most ``PER_CLASS`` labelled documents of each class,
-taken in the order of a hash of the id. That bound is the only sample: priors
-are counted over all labelled rows, and every whole text is scored.
+taken in the order of a hash of the id, as long as their texts are within
+``SAMPLE_BYTES`` together (a longer text than that is passed over). These two
+bounds are the only sample: priors are counted over all labelled rows, and
+every whole text is scored.
 
 The intercept is corrected from the classes' shares in the sample to those in
 all labelled rows. The broadcast model is one float for each place (1 MB).
@@ -28,12 +30,16 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quernel.llm import _kernels as K
+from quernel.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS, SIZES, PER_CLASS = 18, (3, 4, 5, 6), 2500
+#: Bytes of text of one class that the driver holds while it fits.
+SAMPLE_BYTES = 32 << 20
 #: Documents in which a feature must occur, the least |log-count ratio|, the
 #: documents that the common rate counts for in it, and the L2 penalty.
 MIN_DOCS, MIN_RATIO, TRUST, PENALTY = 5, 0.7, 10, 2e-3
@@ -148,9 +154,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tup
     for y in (0, 1):
         some = known.where(F.col("y") == y).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
-    # at most twice PER_CLASS ids
-    sample = docs.join(F.broadcast(ids), docs.doc_id == ids.id).groupBy("id", "y").agg(F.max("text").alias("text")).orderBy("id").select("y", "text")
-    table = sample.toArrow()
+    # at most twice PER_CLASS ids; whole texts are written once, and only those within the bound come to the driver
+    sample = docs.join(F.broadcast(ids), docs.doc_id == ids.id).groupBy("id", "y").agg(F.max("text").alias("text"))
+    sample = stored(sample.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "toxicity-sample")
+    order = Window.partitionBy("y").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    within = sample.where(F.col("size") <= SAMPLE_BYTES).select("id", "y", F.sum("size").over(order).alias("sofar"))
+    chosen = within.where(F.col("sofar") <= SAMPLE_BYTES).select(F.col("id").alias("chosen"), F.col("y").alias("cy"))
+    table = sample.join(F.broadcast(chosen), (F.col("id") == F.col("chosen")) & (F.col("y") == F.col("cy"))).orderBy("id").select("y", "text").toArrow()
     return fit(table.column("text").to_pylist(), np.array(table.column("y").to_pylist(), float), prior)
 
 

@@ -142,3 +142,61 @@ class Backoff:
                 context = context[1:]
             total += math.log10(self.p(context, w))
         return total
+
+
+def ngram_frequencies(text):
+    """How many of a thousand character n-grams each place has."""
+    from quernel.llm import toxicity
+
+    low = f" {(text or '').lower()} "
+    found = Counter()
+    for k in toxicity.SIZES:
+        for i in range(len(low) - k + 1):
+            h = 0
+            for c in low[i : i + k]:
+                h = (h * 0x100000001B3 + ord(c)) % 2**64
+            h = (h + k - 1) % 2**64
+            h = ((h ^ (h >> 29)) * 0xFF51AFD7ED558CCD) % 2**64
+            found[h >> (64 - toxicity.BITS)] += 1
+    total = sum(found.values())
+    return {x: n * 1000 / max(1, total) for x, n in found.items()}
+
+
+def naive_bayes_logistic(rows, steps=150):
+    """(weight of each place, intercept) from (text, label), one number at a time."""
+    from quernel.llm.toxicity import MIN_DOCS, MIN_RATIO, PENALTY, TRUST
+
+    held = [ngram_frequencies(t) for t, _ in rows]
+    labels = [y for _, y in rows]
+    n1, n = sum(labels), len(labels)
+    ratio = {}
+    for x in {x for f in held for x in f}:
+        if sum(x in f for f in held) < MIN_DOCS:
+            continue
+        one = sum(f.get(x, 0) for f, y in zip(held, labels, strict=True) if y)
+        two = sum(f.get(x, 0) for f, y in zip(held, labels, strict=True) if not y)
+        rate = (one + two) / n
+        value = math.log((one + TRUST * rate + 1e-3) / (n1 + TRUST)) - math.log((two + TRUST * rate + 1e-3) / (n - n1 + TRUST))
+        if abs(value) >= MIN_RATIO:
+            ratio[x] = value
+    inputs = [{x: ratio[x] * math.sqrt(v) for x, v in f.items() if x in ratio} for f in held]
+    w, m, v = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0)
+    b = mb = vb = 0.0
+    for t in range(1, steps + 1):
+        off = [(1 / (1 + math.exp(-(sum(w[x] * u for x, u in f.items()) + b))) - y) / n for f, y in zip(inputs, labels, strict=True)]
+        slope = {x: PENALTY * w[x] for x in w}
+        for f, e in zip(inputs, off, strict=True):
+            for x, u in f.items():
+                slope[x] += e * u
+        for x, g in slope.items():
+            m[x], v[x] = 0.9 * m[x] + 0.1 * g, 0.99 * v[x] + 0.01 * g * g
+            w[x] -= 0.02 * (m[x] / (1 - 0.9**t)) / (math.sqrt(v[x] / (1 - 0.99**t)) + 1e-9)
+        g = sum(off)
+        mb, vb = 0.9 * mb + 0.1 * g, 0.99 * vb + 0.01 * g * g
+        b -= 0.02 * (mb / (1 - 0.9**t)) / (math.sqrt(vb / (1 - 0.99**t)) + 1e-9)
+    prior, share = (n1 + 1) / (n + 2), n1 / n
+    return {x: w[x] * ratio[x] for x in w}, b + math.log(prior / (1 - prior)) - math.log(share / (1 - share))
+
+
+def logistic_score(text, weights, base):
+    return 1 / (1 + math.exp(-(base + sum(weights.get(x, 0) * math.sqrt(v) for x, v in ngram_frequencies(text).items()))))

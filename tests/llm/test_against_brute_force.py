@@ -133,6 +133,30 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
 
 
+def test_toxicity_equals_plain_python(spark):
+    """Counts, ratios, gradient steps and scores with dictionaries instead of arrays."""
+    rng = random.Random(21)
+    good, bad = "calm river stone green meadow light paper".split(), "vile rotten scum filthy trash idiot".split()
+    texts = {i: " ".join(rng.choice(bad if i % 3 == 0 and rng.random() < 0.5 else good) for _ in range(rng.randint(3, 12))) for i in range(40)} | {90: "", 91: None}
+    labels = [(i, 0, int(i % 3 == 0)) for i in range(40)]
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.query(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    training = [(i, y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 5]
+    weights, base = brute.naive_bayes_logistic([(texts[i], y) for i, y in sorted(training)])
+    for i, t in texts.items():
+        wanted = brute.logistic_score(t, weights, base)
+        assert found[i].score == pytest.approx(wanted, abs=1e-3) and found[i].predicted == int(found[i].score >= 0.5)
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 60)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, prior: seen.append(texts) or (np.zeros(1 << toxicity.BITS, np.float32), 0.0))
+    rows = [(i, "x" * (100 if i == 1 else 20)) for i in range(1, 20)]
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(1, 20)], "doc_id long, toxic int"))
+    assert 0 < sum(map(len, seen[0])) <= 120 and all(len(t) == 20 for t in seen[0])
+
+
 def test_chat_read_back(spark):
     turns = load(spark, TABLES, "conversations")
     by = defaultdict(list)
@@ -239,6 +263,21 @@ def test_mixing_takes_what_it_aims_at(spark):
     assert all(abs(taken - target) <= max(5, 0.01 * target) for taken, target, _ in by.values())
 
 
+def test_mixing_of_repeated_rows(spark):
+    """Equal rows are rows of their own: the last document goes in once, and other columns keep their values."""
+    rows = [(1, "w " * 100, "s", f"tag{k}") for k in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, tag string")
+    planned = mixing.query(frame).collect()
+    assert (planned[0].target, sum(r.taken for r in planned)) == (600.0, 600)
+    mixed = Counter(r.tag for r in mixing.mix(frame).collect())
+    assert sum(mixed.values()) == 6 and set(mixed) == {f"tag{k}" for k in range(4)} and max(mixed.values()) == 2
+    same = spark.createDataFrame([(1, "w " * 100, "s", "t")] * 4, frame.schema)
+    assert mixing.mix(same).count() == 6
+    # a budget that isn't a multiple: the nearest number of whole documents
+    odd = mixing.plan(frame, share=575 / 400).collect()
+    assert (odd[0].target, sum(r.taken for r in odd)) == (575.0, 600)
+
+
 def test_decontamination_offsets(spark):
     bench = spark.createDataFrame([(1, "What is the Capital city of the old kingdom by the sea?"), (2, "short one"), (3, None)], "item_id long, text string")
     text = "¡Hola! WHAT is -- the capital\tcity of the OLD kingdom... Then a Short, one."
@@ -252,8 +291,10 @@ def test_decontamination_offsets(spark):
 def test_short_items_remove_no_documents(spark):
     bench = spark.createDataFrame([(1, "yes"), (2, "one two three four five six seven eight"), (3, "one two three four five six seven")], "item_id long, text string")
     rows = [(1, "the answer is yes"), (2, "Zero one two three four five six seven eight nine"), (3, "one two three four five six seven ate")]
-    left = decontaminate.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench)
-    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard in (500, 1):
+        left = decontaminate.drop_contaminated(given, bench, shard=shard)
+        assert sorted(r.doc_id for r in left.collect()) == [1, 3]
 
 
 def test_pipeline(spark):

@@ -336,6 +336,32 @@ def test_short_and_wrapped_notices_match(spark):
     assert found == {1: ("gpl", 1.0), 2: ("proprietary", 1.0), 3: ("mit", 1.0), 4: ("", 0.0)}
 
 
+NOTICES = {
+    "gpl": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License.",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License.",
+    "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial license (CC BY-NC).",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike license (CC BY-SA).",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+}
+
+
+@pytest.mark.parametrize("width", [0, 28, 60, 160])
+def test_related_licenses_are_told_apart(spark, width):
+    """One notice has one label, on one line or wrapped over several."""
+    import textwrap
+
+    rows = [(i, "Intro\n" + ("\n".join(textwrap.wrap(t, width)) if width else t) + "\nend") for i, t in enumerate(NOTICES.values())]
+    found = {r.doc_id: r.labels for r in license_scan.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [set(found[i].split(",")) for i in range(len(rows))] == [{x} for x in NOTICES]
+
+
+def test_low_thresholds_lose_no_match(spark):
+    rows = [(1, "mozilla"), (2, "nothing here of them")]
+    found = {(r.key, r.label) for r in license_scan.matches(spark.createDataFrame(rows, "doc_id long, text string"), 0.3).where("label = 'mpl-2'").collect()}
+    assert len(found) == 1
+
+
 def test_license_containment(spark):
     """All pairs of blocks and templates, without any filter."""
     rng, rows = random.Random(6), []
@@ -346,13 +372,17 @@ def test_license_containment(spark):
         rng.shuffle(w)
         rows.append((i, "Intro line\n" + " ".join(x.upper() if rng.random() < 0.2 else x for x in w) + ".\nend"))
     wanted = defaultdict(set)
+    sets = [(label, license_scan.FAMILY.get(label, label), set(t.split())) for label, t in license_scan.TEMPLATES]
     for i, text in rows:
-        for line in text.split("\n"):
-            own = set(line.lower().replace(".", "").split())
-            for label, template in license_scan.TEMPLATES:
-                t = set(template.split())
-                if len(own & t) >= 0.8 * len(t) - 1e-9:
-                    wanted[i].add(label)
+        lines = [set(x.lower().replace(".", "").split()) for x in text.split("\n")]
+        blocks = [(x, 0) for x in lines] + [(set().union(*lines[k : k + license_scan.RUN]), license_scan.LONG) for k in range(len(lines))]
+        for own, least in blocks:
+            best = defaultdict(list)
+            for label, family, t in sets:
+                if len(t) >= least and len(own & t) >= 0.8 * len(t) - 1e-9:
+                    best[family].append((len(own & t) / len(t), len(own & t), label))
+            for hits in best.values():
+                wanted[i] |= {h[2] for h in hits if h[:2] == max(x[:2] for x in hits)}
     found = {r.doc_id: r for r in license_scan.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i, _ in rows:
         base = {x for x in found[i].base_labels.split(",") if x}

@@ -107,11 +107,10 @@ def turns_digest(turns):
 class Backoff:
     """The discounted backoff model from dictionaries of word tuples."""
 
-    def __init__(self, texts, order=3, share=2e-6, discount=0.75):
+    def __init__(self, texts, order=3, least=2, discount=0.75):
         streams = [[*low_words(t), "</s>"] for t in texts]
         self.unigrams = Counter(w for s in streams for w in s)
         self.total, self.distinct = sum(self.unigrams.values()), len(self.unigrams)
-        least = max(2, math.ceil(share * self.total))
         self.order, self.kept = order, {(w,): n for w, n in self.unigrams.items() if n >= least}
         for k in range(2, order + 1):
             grams = Counter(tuple(s[i : i + k]) for s in streams for i in range(len(s) - k + 1))

@@ -91,7 +91,7 @@ def test_language_model(spark):
     texts = [*random_texts(150, random.Random(3)), "", None, "Unseen words only", "bana0 bana0 bana0"]
     rows = [(i, t) for i, t in enumerate(texts)]
     training = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
-    model = brute.Backoff(training)
+    model = brute.Backoff(training, lm_score.ORDER)
     found = {r.doc_id: r for r in lm_score.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i, t in rows:
         stream = [*brute.low_words(t), "</s>"]
@@ -101,12 +101,16 @@ def test_language_model(spark):
         assert r.score == pytest.approx(model.score(t), abs=1e-6)
 
 
-def test_language_model_keeps_rare_grams_of_a_large_corpus(spark):
-    """A share that only hot keys reach: every n-gram that occurs twice is in the model all the same."""
+@pytest.mark.parametrize(("order", "most"), [(2, 40), (3, 40), (3, 10**6), (1, 5)])
+def test_language_model_whatever_the_scan_carries(spark, monkeypatch, order, most):
+    """Every n-gram that occurs twice is in the model, however few of them the scan carries."""
+    monkeypatch.setattr(lm_score, "TOP", 3)
     texts = random_texts(150, random.Random(3))
-    model = brute.Backoff(texts, share=0)
+    model = brute.Backoff(texts, order)
     frame = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
-    found = {r.doc_id: r for r in lm_score.score(frame, *lm_score.train(frame, share=0.005)).collect()}
+    carried, values = lm_score.train(frame, order=order, most=most)
+    assert all(len(keys) <= most for keys, _, _ in carried.hot)
+    found = {r.doc_id: r for r in lm_score.score(frame, carried, values).collect()}
     for i, t in enumerate(texts):
         assert found[i].score == pytest.approx(model.score(t), abs=1e-6)
 

@@ -14,17 +14,23 @@ from pyspark.sql.types import StringType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: White space as Python's str.isspace() has it, for Java's regex engine.
-BLANK = r"(?U)[\s\x1c-\x1f]"
-TRIM = rf"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-#: Letters, numbers and the underscore; Java's own \w also takes marks.
+#: White space as Python's str.isspace() has it.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE) + "]"
+#: Letters, numbers and the underscore; Java's own \\w also takes marks.
 TOKEN = r"[\p{L}\p{N}_]+"
-SPECIALS = tuple(f"<|{name}|>" for name in ("pad", "bos", "eos", "system", "user", "assistant", "end_turn", "tool", "tool_result"))
+# The reserved literals, in the order of their ids.
+SPECIALS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|system|>", "<|user|>", "<|assistant|>", "<|end_turn|>", "<|tool|>", "<|tool_result|>")
+#: Text beyond these code points may not be in NFC: below U+0300 nothing composes,
+#: and of the punctuation from U+2010 to U+2027 and the euro sign nothing does.
+_MAY_COMPOSE = r"[^\x{0}-\x{2ff}\x{2010}-\x{2027}\x{20ac}]"
+#: Text beyond these may fold to something else than its lower case.
+_MAY_FOLD = r"[^\x{0}-\x{ff}\x{2010}-\x{2027}\x{20ac}]"
 
 
 def blank_trim(text: Column) -> Column:
     """Python's strip()."""
-    return F.regexp_replace(text, TRIM, "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 @F.pandas_udf(StringType())
@@ -44,23 +50,21 @@ def line_feeds(text: Column) -> Column:
 def normalize_text(text: Column) -> Column:
     """NFC with line feeds; nothing is trimmed or squeezed.
 
-    NFC isn't among the built-in functions, so the text crosses to Arrow once.
-    Where the input is known to be in NFC, ``line_feeds`` alone does.
+    NFC isn't among the built-in functions. Texts without a code point that
+    could compose or decompose are in NFC and stay in the JVM; only the others
+    cross to Arrow, as the first ones are null there.
     """
-    return line_feeds(_nfc(text))
+    return line_feeds(F.coalesce(_nfc(F.when(text.rlike(_MAY_COMPOSE), text)), text))
 
 
 def casefold(text: Column) -> Column:
-    """Full case folding through Arrow; see ``lower_fold`` for the native form."""
-    return _folded(text)
+    """Full case folding.
 
-
-def lower_fold(text: Column) -> Column:
-    """Case folding for Latin text: lower case, with the sharp s spelt out.
-
-    Equal to full folding for the letters of Latin-1; stays inside the JVM.
+    Of Latin-1, the sharp s and the micro sign alone fold to something else
+    than their lower case, so texts in it stay in the JVM; others cross to Arrow.
     """
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    plain = F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("\u00b5"), F.lit("\u03bc"))
+    return F.coalesce(_folded(F.when(text.rlike(_MAY_FOLD), text)), plain)
 
 
 def sha256_hex(text: Column) -> Column:
@@ -93,9 +97,9 @@ def source_key(path: Column, record: Column) -> Column:
     return F.struct(F.lower(path).alias("path"), record.alias("record"))
 
 
-def comparison_tokens(text: Column, exact: bool = True) -> Column:
+def comparison_tokens(text: Column) -> Column:
     """Case-folded words of letters, numbers and underscores."""
-    return F.regexp_extract_all(casefold(text) if exact else lower_fold(text), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(casefold(text), F.lit(TOKEN), F.lit(0))
 
 
 def grams(tokens: Column, n: int, separator: str = " ") -> Column:
@@ -148,8 +152,14 @@ def length_bucket(n: Column) -> Column:
     return F.when(n <= 4, n.cast("string")).when(n <= 8, "5-8").when(n <= 16, "9-16").otherwise("17+")
 
 
+@F.pandas_udf(StringType())
+def _ascii_part(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
+
+
 def slug(title: Column, longest: int = 80) -> Column:
-    """A file name part: ASCII letters and digits with single underscores."""
-    plain = F.regexp_replace(F.lower(title), r"[^a-z0-9]+", "_")
-    short = F.substring(F.regexp_replace(plain, "^_+|_+$", ""), 1, longest)
+    """A file name part: ASCII letters and digits of the NFKD form with single underscores."""
+    ascii_ = F.coalesce(_ascii_part(F.when(title.rlike(r"[^\x00-\x7f]"), title)), title)
+    plain = F.regexp_replace(F.lower(ascii_), r"[^a-z0-9]+", "_")
+    short = F.regexp_replace(F.substring(F.regexp_replace(plain, "^_+|_+$", ""), 1, longest), "_+$", "")
     return F.when(short == "", F.lit("untitled")).otherwise(short)

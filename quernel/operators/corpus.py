@@ -37,30 +37,30 @@ def unseen(docs: DataFrame, history: DataFrame) -> DataFrame:
     return docs.join(history.select("sha").distinct(), "sha", "left_anti")
 
 
-def evaluation_shingles(items: DataFrame, size: int = 8, min_tokens: int = 50, exact: bool = False) -> DataFrame:
+def evaluation_shingles(items: DataFrame, size: int = 8, min_tokens: int = 50) -> DataFrame:
     """(item_id, shingle, total) of the items that are long enough."""
-    tokens = items.select("item_id", T.comparison_tokens(F.col("text"), exact).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    tokens = items.select("item_id", T.comparison_tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= min_tokens)
     sets = tokens.select("item_id", F.array_distinct(T.gram_keys(F.col("tokens"), size)).alias("grams"))
     return sets.select("item_id", F.size("grams").alias("total"), F.explode("grams").alias("shingle"))
 
 
-def contained(docs: DataFrame, items: DataFrame, size: int = 8, min_tokens: int = 50, least: float = 0.8, exact: bool = False) -> DataFrame:
+def contained(docs: DataFrame, items: DataFrame, size: int = 8, min_tokens: int = 50, least: float = 0.8) -> DataFrame:
     """(doc_id, item_id, shared, total): items of which a document holds enough.
 
     Document shingles stream past the evaluation shingles; only those that hit
     are shuffled, to be counted for each document and item.
     """
-    index = evaluation_shingles(items, size, min_tokens, exact)
+    index = evaluation_shingles(items, size, min_tokens)
     side = F.broadcast(index) if index.count() <= BROADCAST_SHINGLES else index
-    rows = docs.select("doc_id", F.explode(F.array_distinct(T.gram_keys(T.comparison_tokens(F.col("text"), exact), size))).alias("shingle"))
+    rows = docs.select("doc_id", F.explode(F.array_distinct(T.gram_keys(T.comparison_tokens(F.col("text")), size))).alias("shingle"))
     hits = rows.join(side, "shingle").groupBy("doc_id", "item_id", "total").agg(F.count(F.lit(1)).alias("shared"))
     return hits.where(F.col("shared") / F.col("total") >= least).select("doc_id", "item_id", "shared", F.col("total").cast("long").alias("total"))
 
 
-def exact_items(docs: DataFrame, items: DataFrame, min_tokens: int = 50, exact: bool = False) -> DataFrame:
+def exact_items(docs: DataFrame, items: DataFrame, min_tokens: int = 50) -> DataFrame:
     """(doc_id, item_id): documents that are an item; of equal items, the first."""
-    long = items.where(F.size(T.comparison_tokens(F.col("text"), exact)) >= min_tokens)
-    first = long.select("item_id", T.sha256_hex(T.line_feeds(F.col("text"))).alias("sha")).groupBy("sha").agg(F.min("item_id").alias("item_id"))
+    long = items.where(F.size(T.comparison_tokens(F.col("text"))) >= min_tokens)
+    first = long.select("item_id", T.sha256_hex(T.normalize_text(F.col("text"))).alias("sha")).groupBy("sha").agg(F.min("item_id").alias("item_id"))
     return docs.join(first, "sha").select("doc_id", "item_id")
 
 
@@ -95,7 +95,7 @@ def reasons(
     its document is accepted, so each copy of a contaminated text is
     contaminated and never a duplicate.
     """
-    m = docs.select("doc_id", "lang", "source", "sha", "text", Q.metrics(F.col("text"), T.lower_fold).alias("m"), Q.scripts(F.col("text")).alias("s"))
+    m = docs.select("doc_id", "lang", "source", "sha", "text", Q.metrics(F.col("text")).alias("m"), Q.scripts(F.col("text")).alias("s"))
     gates = []
     if language:
         gates.append(F.when(F.coalesce(T.primary_language(F.col("lang")), F.lit("")) != language, F.lit("non_english")))

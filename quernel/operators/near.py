@@ -17,7 +17,7 @@ MASK = (1 << 61) - 1
 
 def features(docs: DataFrame, size: int = 8, min_tokens: int = 50) -> DataFrame:
     """(doc_id, n_tokens, grams): sorted distinct shingle hashes of long documents."""
-    rows = docs.select("doc_id", T.comparison_tokens(F.col("text"), exact=False).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    rows = docs.select("doc_id", T.comparison_tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= min_tokens)
     return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sort_array(F.array_distinct(T.gram_keys(F.col("tokens"), size))).alias("grams")).where(F.size("grams") > 0)
 
 

@@ -24,18 +24,12 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return corpus.prepared(load(spark, d, "documents"))
 
 
-def _native(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with line feeds only: the tables are in NFC (normalize_text checks that)."""
-    docs = load(spark, d, "documents").withColumn("text", T.line_feeds(F.col("text")))
-    return corpus.prepared(docs, normalized=True)
-
-
 def _judged(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.reasons(_native(spark, d), load(spark, d, "benchmark"))
+    return corpus.reasons(_docs(spark, d), load(spark, d, "benchmark"))
 
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
-    docs = _native(spark, d)
+    docs = _docs(spark, d)
     return docs.select(
         "doc_id", "source", F.col("lang").alias("category"), F.col("doc_id").cast("string").alias("document_id"), F.concat(F.lit("g"), F.floor(F.col("doc_id") / 3).cast("string")).alias("split_group"),
         F.length("text").cast("long").alias("n_chars"), F.octet_length("text").cast("long").alias("n_bytes"), (F.octet_length("text") + 2).cast("long").alias("n_tokens"),
@@ -48,7 +42,7 @@ def normalize_text(s, d):
 
 
 def fingerprint_ids(s, d):
-    return _native(s, d).select("doc_id", F.col("sha").alias("text_sha256"), T.document_id(F.col("text")).alias("document_id"))
+    return _docs(s, d).select("doc_id", F.col("sha").alias("text_sha256"), T.document_id(F.col("text")).alias("document_id"))
 
 
 def split_group_pages(s, d):
@@ -60,17 +54,17 @@ def primary_language_counts(s, d):
 
 
 def doc_metrics(s, d):
-    m = _native(s, d).select("doc_id", Q.metrics(F.col("text"), T.lower_fold).alias("m"))
+    m = _docs(s, d).select("doc_id", Q.metrics(F.col("text")).alias("m"))
     return m.select("doc_id", *[F.round(F.col(f"m.{n}"), 9).alias(n) if n.endswith("ratio") or n == "mean_line_length" else F.col(f"m.{n}") for n in Q.METRICS])
 
 
 def script_metrics(s, d):
-    m = _native(s, d).select("doc_id", Q.scripts(F.col("text")).alias("s"))
+    m = _docs(s, d).select("doc_id", Q.scripts(F.col("text")).alias("s"))
     return m.select("doc_id", "s.alphabetic_characters", "s.latin_characters", F.round("s.latin_share", 9).alias("latin_share"), Q.script_mismatch(F.col("s")).alias("mismatch"))
 
 
 def secret_hits(s, d):
-    return _native(s, d).select("doc_id", Q.secret(F.col("text")).alias("secret")).where("secret IS NOT NULL")
+    return _docs(s, d).select("doc_id", Q.secret(F.col("text")).alias("secret")).where("secret IS NOT NULL")
 
 
 def special_token_texts(s, d):
@@ -79,7 +73,7 @@ def special_token_texts(s, d):
 
 
 def quality_reason(s, d):
-    m = _native(s, d).select("doc_id", "text", Q.metrics(F.col("text"), T.lower_fold).alias("m"))
+    m = _docs(s, d).select("doc_id", "text", Q.metrics(F.col("text")).alias("m"))
     return m.select("doc_id", F.coalesce(Q.quality_reason(F.col("text"), F.col("m")), F.lit("accepted")).alias("reason"))
 
 
@@ -96,26 +90,26 @@ def rejected_samples(s, d):
 
 
 def exact_dedup_keep_first(s, d):
-    return corpus.keep_first(_native(s, d)).select("doc_id", "first_id", (F.col("doc_id") == F.col("first_id")).alias("kept"))
+    return corpus.keep_first(_docs(s, d)).select("doc_id", "first_id", (F.col("doc_id") == F.col("first_id")).alias("kept"))
 
 
 def duplicate_ratio(s, d):
-    docs = _native(s, d)
+    docs = _docs(s, d)
     return docs.groupBy("sha").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("documents"), F.count(F.lit(1)).alias("distinct_texts"), F.round(1 - F.count(F.lit(1)) / F.sum("n"), 9).alias("ratio"))
 
 
 def dedup_anti_join(s, d):
-    docs = _native(s, d)
+    docs = _docs(s, d)
     return corpus.unseen(docs, docs.where("source = 'src0'")).select("doc_id", "sha")
 
 
 def comparison_token_count(s, d):
-    t = _native(s, d).select("doc_id", T.comparison_tokens(F.col("text"), exact=False).alias("t"))
+    t = _docs(s, d).select("doc_id", T.comparison_tokens(F.col("text")).alias("t"))
     return t.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(F.array_distinct(T.gram_keys(F.col("t"), 8))).cast("long").alias("n_shingles"))
 
 
 def _near(s, d):
-    feats = near.features(_native(s, d))
+    feats = near.features(_docs(s, d))
     sets = near.classes(feats)
     return feats, sets, near.links(sets, near.prefix_candidates(sets))
 
@@ -129,28 +123,28 @@ def near_dup_audit(s, d):
 
 
 def near_dup_lsh(s, d):
-    sets = near.classes(near.features(_native(s, d)))
+    sets = near.classes(near.features(_docs(s, d)))
     return near.links(sets, near.lsh_candidates(sets))
 
 
 def minhash_signature(s, d):
-    return near.features(_native(s, d)).select("doc_id", near.signature(F.col("grams")).alias("signature"))
+    return near.features(_docs(s, d)).select("doc_id", near.signature(F.col("grams")).alias("signature"))
 
 
 def decon_exact(s, d):
-    return corpus.exact_items(_native(s, d), load(s, d, "benchmark"), min_tokens=1)
+    return corpus.exact_items(_docs(s, d), load(s, d, "benchmark"), min_tokens=1)
 
 
 def decon_containment_50(s, d):
-    return corpus.contained(_native(s, d), load(s, d, "benchmark"))
+    return corpus.contained(_docs(s, d), load(s, d, "benchmark"))
 
 
 def decon_containment_20(s, d):
-    return corpus.contained(_native(s, d), load(s, d, "benchmark"), min_tokens=20)
+    return corpus.contained(_docs(s, d), load(s, d, "benchmark"), min_tokens=20)
 
 
 def decon_best(s, d):
-    best = corpus.best_verdict(_native(s, d), load(s, d, "benchmark"), min_tokens=20)
+    best = corpus.best_verdict(_docs(s, d), load(s, d, "benchmark"), min_tokens=20)
     return best.withColumn("containment", F.round("containment", 9))
 
 
@@ -187,7 +181,7 @@ def shard_contiguity(s, d):
 
 
 def byte_pair_counts(s, d):
-    return tokens.byte_pair_counts(_native(s, d))
+    return tokens.byte_pair_counts(_docs(s, d))
 
 
 def _tokenizer(s, d):
@@ -221,12 +215,12 @@ def source_contribution(s, d):
 
 
 def chunk_documents(s, d):
-    pieces = sampling.chunks(_native(s, d).select("doc_id", "text"), 600, 900, 100)
+    pieces = sampling.chunks(_docs(s, d).select("doc_id", "text"), 600, 900, 100)
     return pieces.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("text")).alias("characters"), F.max(F.length("text")).alias("longest"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct(F.coalesce("chunk", F.lit(0)).alias("k"), "text")))["text"], ""), 256).alias("sha"))
 
 
 def _pieces(s, d):
-    pieces = sampling.chunks(_native(s, d).select("doc_id", "text"), 600, 900, 100)
+    pieces = sampling.chunks(_docs(s, d).select("doc_id", "text"), 600, 900, 100)
     return pieces.select(F.col("doc_id").alias("source"), F.coalesce("chunk", F.lit(0)).cast("long").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"))
 
 
@@ -245,7 +239,7 @@ def weighted_pass(s, d):
 
 
 def corpus_validator(s, d):
-    return validate.corpus_checks(corpus.clean_records(_native(s, d), _judged(s, d)), normalized=True)
+    return validate.corpus_checks(corpus.clean_records(_docs(s, d), _judged(s, d)))
 
 
 def framing_validator(s, d):

@@ -6,14 +6,14 @@ engine uses hashes, and on whole joins where it uses filters.
 
 from __future__ import annotations
 
-from quernel.functions.quality import CHROME, METRICS, SECRETS
+from quernel.functions.quality import METRICS, NAVIGATION_WORDS, SECRET_PATTERNS
 
 _CLEAN = r"replace(replace(nfc_normalize(text), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 _DOCS = f"d AS (SELECT doc_id, lang, source, {_CLEAN} AS text, sha256({_CLEAN}) AS sha FROM documents)"
-_FOLD = "replace(lower({}), 'ß', 'ss')"
+_FOLD = "replace(replace(lower({}), 'ß', 'ss'), chr(181), chr(956))"
 _SPACE = r"[\s\x0B\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TOKENS = r"regexp_extract_all(" + _FOLD + r", '[\p{{L}}\p{{N}}_]+')"
-_CHROME = ", ".join(f"'{w}'" for w in CHROME)
+_CHROME = ", ".join(f"'{w}'" for w in NAVIGATION_WORDS)
 
 
 def _n(pattern: str, text: str = "text") -> str:
@@ -41,14 +41,8 @@ mm AS (SELECT doc_id, text, lang, source, sha, characters, utf8_bytes, lines, no
   CASE WHEN words > 0 THEN unique_words / words ELSE 0 END AS type_token_ratio, CASE WHEN non_empty_lines > 0 THEN nav / non_empty_lines ELSE 0 END AS nav_line_ratio FROM m)"""
 
 
-def _re2(pattern: str) -> str:
-    """The patterns without what RE2 lacks; word edges are ASCII ones."""
-    for java, plain in ((r"(?<![\p{L}\p{N}_])", r"\b"), (r"(?![\p{L}\p{N}_])", r"\b"), (r"(?U:[\s\x1c-\x1f])", r"[\s\x1c-\x1f]")):
-        pattern = pattern.replace(java, plain)
-    return pattern
-
-
-_SECRET = "CASE " + " ".join(f"WHEN regexp_matches(text, '{_re2(p)}') THEN '{n}'" for n, p in SECRETS.items()) + " END"
+# word edges are ASCII ones here
+_SECRET = "CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in SECRET_PATTERNS) + " END"
 _REASON = f"""CASE WHEN regexp_full_match(text, '{_SPACE}*') THEN 'empty_text' WHEN characters < 300 THEN 'too_short' WHEN words < 50 THEN 'too_few_words'
   WHEN replacement_chars > 5 THEN 'replacement_characters' WHEN control_ratio > 0.005 THEN 'control_characters' WHEN alphabetic_ratio < 0.4 THEN 'low_alphabetic_ratio'
   WHEN non_empty_lines >= 4 AND duplicate_line_ratio > 0.5 THEN 'duplicate_lines'

@@ -21,7 +21,7 @@ def batch_writer(spark: SparkSession, out: str, items: DataFrame, language: str
     """A foreachBatch function that judges and writes one batch."""
 
     def write(batch: DataFrame, number: int) -> None:
-        docs = corpus.prepared(batch.withColumn("text", F.regexp_replace("text", "\r\n?", "\n")), normalized=True)
+        docs = corpus.prepared(batch)
         judged = corpus.reasons(docs, items, language)
         accepted = judged.where("reason IS NULL OR reason = 'exact_duplicate'")
         if number:

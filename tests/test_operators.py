@@ -125,13 +125,34 @@ def test_tokenizer_round_trip():
         tokens.Tokenizer([(0, 1), (0, 1)], 600)
 
 
-def test_chunks_join_to_the_text():
+def slow_chunks(text, target, most, tail, separators):
+    """One position after the other, for the same definition."""
+    pieces, start = [], 0
+    while len(text) - start > most:
+        aim, options = start + target, []
+        for sep in separators:
+            for p in range(start + max(1, target // 2), start + most - len(sep) + 1):
+                if text.startswith(sep, p) and (p + len(sep) <= aim + 1 or p >= aim):
+                    options.append((abs(p + len(sep) - aim), p + len(sep)))
+            if options:
+                break
+        end = min(options)[1] if options else start + most
+        pieces.append(text[start:end])
+        start = end
+    pieces.append(text[start:])
+    if len(pieces) > 1 and len(pieces[-1]) < tail and len(pieces[-2]) + len(pieces[-1]) <= most:
+        pieces[-2:] = ["".join(pieces[-2:])]
+    return pieces
+
+
+def test_chunks_equal_the_slow_way():
     draw = random.Random(3)
-    for _ in range(60):
-        text = "".join(draw.choice(["word ", "end. ", "\n\n", "x" * draw.randrange(40)]) for _ in range(draw.randrange(120)))
-        for ends in (False, True):
-            pieces = sampling.chunk_text(text, 60, 90, 10, ends)
+    for _ in range(120):
+        text = "".join(draw.choice(["word ", "end. ", "\n\n", "\\n\\n", "\\n", "x" * draw.randrange(40)]) for _ in range(draw.randrange(120)))
+        for kinds in (sampling.SEPARATORS, sampling.LINE_SEPARATORS):
+            pieces = sampling.chunk_text(text, 60, 90, 10, kinds)
             assert "".join(pieces) == text and max(map(len, pieces)) <= 90
+            assert pieces == slow_chunks(text, 60, 90, 10, kinds)
 
 
 @pytest.mark.parametrize("keep_first", [False, True])

@@ -93,22 +93,30 @@ def blocks(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     are formed only in texts that as a whole hold enough of a long template.
     ``block`` tells the blocks of one text apart.
     """
-    needs = [_need(len(set(t.split())), threshold) for _, t in TEMPLATES]
-    rows = docs.select(row_key("doc_id", "text").alias("key"), "text")
-    lines = rows.select("key", F.posexplode(F.array_distinct(F.split("text", "\n"))).alias("block", "line"))
-    lines = lines.select("key", "block", _token_set(F.col("line")).alias("tokens"), F.lit(False).alias("run")).where(F.size("tokens") >= max(1, min(needs)))
+    least_line = max(1, min(_need(len(set(t.split())), threshold) for _, t in TEMPLATES))
     long = [x for x in (sorted(set(t.split())) for _, t in TEMPLATES) if len(x) >= LONG]
-    least = max(1, min(_need(len(x), threshold) for x in long))
+    least_run = max(1, min(_need(len(x), threshold) for x in long))
+    none = F.array().cast("array<struct<block:int,tokens:array<string>,run:boolean>>")
+
+    def block(i: Column, tokens: Column, run: bool) -> Column:
+        return F.struct(i.cast("int").alias("block"), tokens.alias("tokens"), F.lit(run).alias("run"))
 
     def enough(known: Column) -> Column:
+        """A text that as a whole holds too little of each long template has no run that matches."""
         return F.array_max(F.array(*[F.size(F.array_intersect(F.array(*[F.lit(w) for w in x]), known)) >= _need(len(x), threshold) for x in long]))
 
-    def runs(sets: Column) -> Column:
-        return F.transform(sets, lambda x, i: F.array_distinct(F.flatten(F.slice(sets, i + 1, F.lit(RUN)))))
+    def runs(short: Column) -> Column:
+        every = F.transform(short, lambda x, i: block(i, F.array_distinct(F.flatten(F.slice(short, i + 1, F.lit(RUN)))), True))
+        return F.when(let(F.array_distinct(F.flatten(short)), enough), F.filter(every, lambda x: F.size(x["tokens"]) >= least_run)).otherwise(none)
+
+    def made(lines: Column) -> Column:
+        single = F.filter(F.transform(lines, lambda x, i: block(i, x["tokens"], False)), lambda x: F.size(x["tokens"]) >= least_line)
+        return F.concat(single, let(F.transform(lines, lambda x: F.when(x["short"], x["tokens"]).otherwise(F.array().cast("array<string>"))), runs))
 
-    wrapped = F.transform(F.split("text", "\n"), lambda x: F.when(F.length(x) <= WRAPPED, _token_set(x)).otherwise(F.array().cast("array<string>")))
-    joined = rows.where(let(_token_set(F.col("text")), enough)).select("key", F.posexplode(let(wrapped, runs)).alias("block", "tokens"), F.lit(True).alias("run"))
-    return lines.unionByName(joined.where(F.size("tokens") >= least))
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(_token_set(x).alias("tokens"), (F.length(x) <= WRAPPED).alias("short")))
+    # each text is split into words once, for lines and runs together
+    found = docs.where("text IS NOT NULL").select(row_key("doc_id", "text").alias("key"), F.explode(let(lines, made)).alias("b"))
+    return found.select("key", "b.block", "b.tokens", "b.run")
 
 
 def _need(n: int, threshold: float) -> int:

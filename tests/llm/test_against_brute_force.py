@@ -217,6 +217,35 @@ def test_substring_passages(spark):
         assert len(found[i] & wanted) >= 0.9 * len(wanted) and not found[i] - wanted, i
 
 
+def test_fuzzy_passages_are_found_at_every_rate(spark):
+    """Pairs of passages of 120 words, one of each edited at 5 to 25 %; and one gap of 300 words."""
+    rng, docs, spots = random.Random(33), [], {}
+    new = lambda n: [f"u{rng.randint(0, 10**9)}" for _ in range(n)]
+    rates = (0.05, 0.1, 0.15, 0.2, 0.25)
+    for k in range(60):
+        source = new(120)
+        for copy in (source, [x if rng.random() >= rates[k % 5] else new(1)[0] for x in source]):
+            front = new(rng.randint(20, 90))
+            spots[len(docs)] = (len(front), rates[k % 5])
+            docs.append(front + copy + new(rng.randint(20, 90)))
+    long = new(320)
+    docs += [new(5) + long + new(5), new(5) + long[:150] + long[151:] + new(5)]
+    found = defaultdict(set)
+    for r in substring_dedup.query(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")).collect():
+        found[r.doc_id] |= set(range(r.first_word, r.past_word))
+    for rate in rates:
+        own = [(i, lo) for i, (lo, r) in spots.items() if r == rate]
+        assert sum(len(found[i] & set(range(lo, lo + 120))) for i, lo in own) >= 0.9 * 120 * len(own), rate
+        assert not any(found[i] - set(range(lo, lo + 120)) for i, lo in own)
+    assert len(found[len(docs) - 2]) >= 318 and len(found[len(docs) - 1]) >= 317
+
+
+def test_long_gaps_are_aligned():
+    x = np.arange(300)
+    assert substring_dedup._common(np.r_[-1, x[1:], -2], np.r_[-3, np.delete(x, 150)[1:], -4]) == 298
+    assert substring_dedup._common(x[:190], np.delete(x[:190], 7)) == 189 and substring_dedup._common(x, x[:0]) == 0
+
+
 @pytest.mark.parametrize(("n", "between"), [(60, 60), (60, 200), (50, 100), (100, 200)])
 def test_two_passages_of_one_pair_are_reported(spark, n, between):
     """Two exact passages in the same order, with foreign text between them."""

@@ -13,9 +13,11 @@ Work on groups of copies stays linear:
    result, so only documents of buckets that hold several components go on;
 4. of these, a document goes out if so many of its shingles occur in no other
    open document that no partner could reach the threshold;
-5. the rest is compared in blocks: the documents that buckets connect are dealt
-   into blocks, and each pair of blocks with different components is counted
-   as one product of incidence matrices. Only links come out, never pairs.
+5. the rest is compared in blocks: the documents of a bucket are dealt into
+   blocks, and two blocks of different components are counted as one product
+   of incidence matrices if a bucket has documents in both. A pair of blocks is
+   counted once, however many buckets they share; a large group of buckets
+   costs what its buckets cost, and only links come out, never pairs.
 
 So every candidate pair either is confirmed or refuted on full sets, or lies
 inside a component already: the components are those of all confirmed pairs.
@@ -52,6 +54,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS, SEED = 32, 20260501
 #: Documents of one block; two of them meet in a task.
 BLOCK = 512
+NO_LABEL = -1 << 62
 #: Ids of candidates up to this number are broadcast (8 MB) to the scan that
 #: makes their sets; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -119,7 +122,7 @@ def _set_maker(words: int, short: bool = False) -> Callable:
     def make(batches):
         kind = np.int32 if short else np.int64
         for batch in batches:
-            sets = [(x >> np.uint64(32)).astype(np.uint32).view(kind) if short else x.view(kind) for x in _sets(batch.column(1), words)]
+            sets = [np.unique((x >> np.uint64(32)).astype(np.uint32)).view(kind) if short else x.view(kind) for x in _sets(batch.column(1), words)]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
             values = np.concatenate(sets) if sets else np.zeros(0, kind)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "grams"])
@@ -158,31 +161,33 @@ def _across(docs: DataFrame, buckets: DataFrame, labels: DataFrame, words: int,
         return None
     ids = nodes.select(F.col("node").alias("id"))
     texts = docs.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
-    # 32 bits of each hash: a clash can only add a candidate, and links are confirmed on full sets
+    # 32 bits of each hash; what clashes inside one document take away is given back as slack,
+    # so a clash can only add a candidate, and links are confirmed on full sets
     sets = stored(texts.mapInArrow(_set_maker(words, short=True), "node long, grams array<int>").dropDuplicates(["node"]), "open-sets")
     alone = sets.select("node", F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
     alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     live = nodes.join(alone, "node", "left").where((F.col("n") - F.coalesce("alone", F.lit(0))) * 100 >= F.col("n") * percent).select("node")
     open_rows = stored(_open(buckets.join(live, "node", "left_semi"), labels), "open-live")
-    heads = open_rows.groupBy("bucket").agg(F.min("node").alias("head"))
-    if heads.limit(1).count() == 0:
+    if open_rows.limit(1).count() == 0:
         return None
-    group = components(open_rows.join(heads, "bucket").select(F.col("node").alias("a"), F.col("head").alias("b")))
-    rows = group.select("node", F.col("label").alias("grp")).join(nodes, "node")
-    per = rows.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("rows"))
-    kinds = per.select("grp", "label", F.when(F.col("rows") >= BLOCK, F.col("label")).alias("big"), "rows")
-    blocks = stored(kinds.groupBy("grp", "big").agg(F.ceil(F.sum("rows") / BLOCK).cast("int").alias("parts")), "blocks")
-    named = rows.join(kinds.drop("rows"), ["grp", "label"]).join(blocks.withColumnRenamed("grp", "g2").withColumnRenamed("big", "b2"), (F.col("grp") == F.col("g2")) & F.col("big").eqNullSafe(F.col("b2")))
-    key = ["grp", F.coalesce("big", F.lit(-1 << 62)).alias("big")]
-    named = named.select("node", "n", "label", *key, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    every = blocks.select(*key, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    left = every.select("grp", F.struct("big", "part").alias("x"))
-    right = every.select("grp", F.struct("big", "part").alias("y"))
-    # one row for two blocks; blocks of one component need no comparison
-    jobs = left.join(right, "grp").where("x <= y AND (x.big <> y.big OR x.big = %d)" % (-1 << 62)).withColumn("job", F.struct("grp", "x", "y"))
-    sides = jobs.select("job", "grp", F.explode(F.array_distinct(F.array("x", "y"))).alias("s"))
-    dealt = sides.join(named.select("grp", F.struct("big", "part").alias("s"), "node", "n", "label"), ["grp", "s"]).join(sets, "node")
-    dealt = dealt.select("job", (F.col("s") == F.col("job.x")).alias("first"), "node", "n", "label", "grams")
+    # a document's home is the largest of its open buckets, so those of one hot bucket share their blocks
+    sizes = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    homes = open_rows.join(sizes, "bucket").groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("top"))
+    rows = stored(homes.select("node", F.col("top.bucket").alias("home")).join(nodes, "node"), "homes")
+    per = rows.groupBy("home", "label").agg(F.count(F.lit(1)).alias("rows"))
+    kinds = per.select(F.col("home").alias("k_home"), F.col("label").alias("k_label"), F.when(F.col("rows") >= BLOCK, F.col("label")).otherwise(NO_LABEL).alias("big"), "rows")
+    parts = kinds.groupBy("k_home", "big").agg(F.ceil(F.sum("rows") / BLOCK).cast("int").alias("parts"))
+    kinds = kinds.drop("rows").join(parts, ["k_home", "big"])
+    named = rows.join(kinds, (F.col("home") == F.col("k_home")) & (F.col("label") == F.col("k_label")))
+    block = F.struct("home", "big", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    named = stored(named.select("node", "n", "label", block.alias("block")), "blocks")
+    # blocks meet where one bucket has documents in both; blocks of one component need no comparison
+    touch = stored(open_rows.select("bucket", "node").join(named.select("node", "block"), "node").select("bucket", "block").distinct(), "bucket-blocks")
+    left, right = touch.select("bucket", F.col("block").alias("x")), touch.select("bucket", F.col("block").alias("y"))
+    jobs = left.join(right, "bucket").where(f"x <= y AND (x.big <> y.big OR x.big = {NO_LABEL})").select(F.struct("x", "y").alias("job")).distinct()
+    sides = jobs.select("job", F.explode(F.array_distinct(F.array("job.x", "job.y"))).alias("block"))
+    dealt = sides.join(named, "block").join(sets, "node")
+    dealt = dealt.select("job", (F.col("block") == F.col("job.x")).alias("first"), "node", "n", "label", "grams")
     return dealt.groupBy("job").applyInArrow(_block_counter(percent), "a long, b long, na long, nb long")
 
 
@@ -218,7 +223,9 @@ def _block_counter(percent: int) -> Callable:
                 y[place[who[part][~mine]], at[part][~mine] - k] = 1
             shared += x @ y.T
         total = n[rows][:, None] + n[cols][None, :]
-        hit = (shared * (100 + percent) >= total * percent) & (label[rows][:, None] != label[cols][None, :])
+        lost = n - sizes  # shingles of a document that share their 32 bits with others of it
+        slack = np.minimum(lost[rows][:, None], lost[cols][None, :])
+        hit = ((shared + slack) * (100 + percent) >= total * percent) & (label[rows][:, None] != label[cols][None, :])
         if cols is rows:
             hit &= node[rows][:, None] < node[cols][None, :]
         i, j = np.nonzero(hit)

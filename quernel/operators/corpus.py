@@ -150,6 +150,47 @@ def clean_records(docs: DataFrame, judged: DataFrame) -> DataFrame:
     )
 
 
+def training_overlap(items: DataFrame, training: DataFrame, least: float = 0.1, size: int = 13, min_grams: int = 20) -> DataFrame:
+    """(item_id, reason): the first reason for which an evaluation text can't be used, or null.
+
+    ``items`` has item_id, source_key and text, ``training`` source_key and
+    text. Reasons in order: a text of a source document that is trained on
+    (keys compared without case), a text that is trained on, and too many of
+    the text's n-grams in training texts.
+    """
+    keys = training.where("source_key IS NOT NULL").select(F.lower("source_key").alias("k")).distinct().withColumn("same_source", F.lit(True))
+    texts = training.select(T.sha256_hex(T.normalize_text(F.col("text"))).alias("sha")).distinct().withColumn("same_text", F.lit(True))
+    shares = ngram_overlap(items, training, size, min_grams).select(F.col("item_id").alias("shared_id"), (F.col("hits") / F.col("n_grams")).alias("overlap"))
+    rows = items.select("item_id", F.lower("source_key").alias("key"), T.sha256_hex(T.normalize_text(F.col("text"))).alias("item_sha"))
+    rows = rows.join(keys, F.col("key") == F.col("k"), "left").join(texts, F.col("item_sha") == F.col("sha"), "left").join(shares, F.col("item_id") == F.col("shared_id"), "left")
+    reason = F.when(F.col("same_source"), "same_training_source_document").when(F.col("same_text"), "exact_training_text").when(F.col("overlap") >= least, "training_ngram_overlap")
+    return rows.select("item_id", reason.alias("reason"))
+
+
+def planted_controls(docs: DataFrame, count: int = 10, min_chars: int = 2000, seed: int = 42) -> DataFrame:
+    """(item_id, text): corpus documents to plant in an evaluation set, in seeded order; all must be found again."""
+    order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")), 256)
+    long = docs.where(F.length("text") >= min_chars).select(F.col("doc_id").alias("item_id"), "text", order.alias("k"))
+    return long.orderBy("k", "item_id").limit(count).drop("k")
+
+
+def category_counts(items: DataFrame, min_tokens: int = 50) -> DataFrame:
+    """Items of an evaluation set by category, and how many are too short to be matched."""
+    short = F.size(T.comparison_tokens(F.col("text"))) < min_tokens
+    return items.groupBy(F.coalesce("category", F.lit("uncategorized")).alias("category")).agg(F.count(F.lit(1)).alias("items"), F.count_if(short).alias("skipped_short"))
+
+
+def totals(runs: DataFrame) -> DataFrame:
+    """Cumulative counts after each run, from ``run``, ``reason``, ``documents``, ``characters``; null is accepted."""
+    # a run is one row after the sums, so the window is small
+    seen = runs.groupBy("run").agg(
+        F.sum("documents").alias("seen"), F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.col("documents"))), F.lit(0)).alias("accepted"),
+        F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.col("characters"))), F.lit(0)).alias("characters"),
+    )
+    sofar = Window.partitionBy().orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
+    return seen.select("run", *[F.sum(c).over(sofar).alias(c) for c in ("seen", "accepted", "characters")])
+
+
 def ngram_overlap(texts: DataFrame, training: DataFrame, size: int = 13, min_grams: int = 20) -> DataFrame:
     """(item_id, n_grams, hits): share of a text's n-grams that training texts hold.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernel.operators.prefix import running
+
+# Fixed value: what a group's digest starts with.
 SPLIT_PREFIX = "LLM_PRETRAIN_SPLIT_V1"
 
 
@@ -18,19 +23,24 @@ def split_plan(docs: DataFrame, fraction: float = 0.01, seed: int = 2026) -> Dat
 
     ``docs`` has split_group, document_id and n_bytes. Groups are ordered by a
     seeded digest; validation is the prefix whose bytes come closest to the
-    fraction, never empty and never all. Only one row for each group is sorted.
+    fraction, never empty and never all. Fewer than two groups with a fraction
+    above 0, and repeated ids, are errors.
     """
     if not 0 <= fraction < 1:
         raise ValueError("the fraction lies in [0, 1)")
+    if docs.groupBy("document_id").count().where("count > 1").limit(1).count():
+        raise ValueError("a document id is repeated")
     groups = docs.groupBy(F.coalesce("split_group", "document_id").alias("grp")).agg(F.sum("n_bytes").alias("bytes"))
-    order = Window.orderBy(group_rank(F.col("grp"), seed), "grp")
-    ranked = groups.select("grp", "bytes", F.row_number().over(order).cast("long").alias("position"), F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative"))
+    ranked = running(groups.select("*", group_rank(F.col("grp"), seed).alias("rank"), F.lit(1).cast("long").alias("one")), ["rank", "grp"], ["one", "bytes"])
+    ranked = ranked.select("grp", "bytes", (F.col("one_before") + 1).alias("position"), (F.col("bytes_before") + F.col("bytes")).alias("cumulative"))
     if fraction == 0:
         return ranked.withColumn("is_validation", F.lit(False))
-    total = ranked.agg(F.sum("bytes").alias("all_bytes"), F.count(F.lit(1)).alias("groups"))
-    scored = ranked.crossJoin(F.broadcast(total))  # one row
-    best = scored.where(F.col("position") < F.col("groups")).agg(F.min(F.struct(F.abs(F.col("cumulative") - F.col("all_bytes") * fraction).alias("off"), "position")).alias("best"))
-    return ranked.crossJoin(F.broadcast(best)).select("grp", "bytes", "position", "cumulative", (F.col("position") <= F.coalesce("best.position", F.lit(0))).alias("is_validation"))
+    total = ranked.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("groups")).first()
+    if total.groups < 2:
+        raise ValueError("a split needs two groups")
+    off = F.abs(F.col("cumulative") - F.lit(total.bytes * fraction))
+    best = ranked.where(F.col("position") < total.groups).agg(F.min(F.struct(off.alias("off"), "position")).alias("best")).first().best
+    return ranked.withColumn("is_validation", F.col("position") <= best.position)
 
 
 def assign(docs: DataFrame, plan: DataFrame) -> DataFrame:
@@ -47,18 +57,12 @@ def summary(assigned: DataFrame) -> DataFrame:
     )
 
 
-def offsets(docs: DataFrame, order: str, size: str, block_rows: int = 4096) -> DataFrame:
-    """Adds ``token_start``: the tokens before each document, in global order.
+def offsets(docs: DataFrame, order: str, size: str, within: Sequence[str] = ()) -> DataFrame:
+    """Adds ``token_start``: the tokens before each document, in the order of any column.
 
-    Two levels: rows are range-partitioned into blocks of the order, block sums
-    are accumulated, and only the rows of a block are sorted together.
+    With ``within``, as for splits, each group is a stream of its own.
     """
-    spread = docs.withColumn("blk", F.floor(F.col(order) / block_rows))
-    totals = spread.groupBy("blk").agg(F.sum(size).alias("t"))
-    before = totals.select("blk", F.coalesce(F.sum("t").over(Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = spread.withColumn("here", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    return local.join(before, "blk").withColumn("token_start", F.col("ahead") + F.col("here")).drop("blk", "ahead", "here")
+    return running(docs, [order], [size], within).withColumnRenamed(f"{size}_before", "token_start")
 
 
 def window_count(total: Column, context: int) -> Column:
@@ -95,9 +99,38 @@ def shard_ranges(total: DataFrame, per_shard: int) -> DataFrame:
     return shards.select("split", F.col("shard_index").cast("long").alias("shard_index"), start.cast("long").alias("token_start"), end.cast("long").alias("token_end"), (end - start).cast("long").alias("token_count"))
 
 
-def epoch_order(windows_: DataFrame, seed: int, epoch: int) -> DataFrame:
-    """Adds a rank for a seeded order of windows that differs for each epoch."""
-    return windows_.withColumn("order_key", F.sha2(F.concat_ws(":", F.lit(f"{seed}:{epoch}"), F.col("window_id").cast("string")), 256))
+def epoch_order(windows_: DataFrame, seed: int, epoch: int, batch: int = 1) -> DataFrame:
+    """Adds ``rank``, ``step`` and ``slot`` in a seeded order that differs for each epoch.
+
+    ``batch`` windows make a step; a last incomplete step is dropped. The step
+    of a run is ``epoch * steps + step``, so a resumed run finds its windows.
+    """
+    key = F.sha2(F.concat_ws(":", F.lit(f"{seed}:{epoch}"), F.col("window_id").cast("string")), 256)
+    ranked = running(windows_.select("*", key.alias("order_key"), F.lit(1).cast("long").alias("one")), ["order_key", "window_id"], ["one"])
+    steps = windows_.count() // batch
+    out = ranked.withColumnRenamed("one_before", "rank").withColumn("step", F.floor(F.col("rank") / batch)).where(F.col("step") < steps)
+    return out.withColumn("slot", F.pmod("rank", F.lit(batch))).drop("one", "order_key")
+
+
+def stream_summary(placed: DataFrame, context: int, size: str = "n_tokens") -> DataFrame:
+    """The twelve fields of each split: documents, groups, texts, tokens, windows and shares."""
+    total = F.sum(size)
+    count = window_count(total, context)
+    out = placed.groupBy("split").agg(
+        F.count(F.lit(1)).alias("document_count"),
+        F.countDistinct(F.coalesce("split_group", "document_id")).alias("split_group_count"),
+        F.sum("n_chars").alias("normalized_characters"),
+        F.sum("n_bytes").alias("normalized_utf8_bytes"),
+        total.cast("long").alias("token_count"),
+        F.max(size).cast("long").alias("longest_document"),
+        count.alias("window_count"),
+        (count * context).alias("prediction_token_count"),
+        F.when(total > 0, total - count * context).otherwise(0).cast("long").alias("tail_token_count"),
+        F.round(F.sum("n_bytes") / total, 9).alias("bytes_per_token"),
+    )
+    # one row for each split
+    share = F.col("normalized_utf8_bytes") / F.sum("normalized_utf8_bytes").over(Window.partitionBy())
+    return out.withColumn("byte_share", F.round(share, 9))
 
 
 def learning_rate(step: Column, peak: float, floor: float, warmup: int, total: int) -> Column:

@@ -64,15 +64,32 @@ def links(sets: DataFrame, candidates: DataFrame, similarity: float = 0.9, ratio
     """
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("n_tokens").alias("ta"), F.col("grams").alias("ga"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("n_tokens").alias("tb"), F.col("grams").alias("gb"))
-    pairs = candidates.join(left, "a").join(right, "b").where(T.length_ratio(F.col("ta"), F.col("tb")) >= ratio)
-    pairs = pairs.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("shared"))
+    pairs = candidates.join(left, "a").join(right, "b").withColumn("length_ratio", T.length_ratio(F.col("ta"), F.col("tb"))).where(F.col("length_ratio") >= ratio)
+    pairs = pairs.select("a", "b", "na", "nb", "length_ratio", F.size(F.array_intersect("ga", "gb")).alias("shared"))
     union = F.col("na") + F.col("nb") - F.col("shared")
     lonely = F.greatest(F.col("na") - F.col("shared"), F.col("nb") - F.col("shared"))
     own = F.greatest((F.col("na") - F.col("shared")) / F.col("na"), (F.col("nb") - F.col("shared")) / F.col("nb"))
-    near = pairs.select("a", "b", F.col("shared").cast("long").alias("shared"), (F.col("shared") / union).alias("similarity"), ((lonely <= most) & (own <= share)).alias("safe"))
+    near = pairs.select("a", "b", F.col("shared").cast("long").alias("shared"), (F.col("shared") / union).alias("similarity"), ((lonely <= most) & (own <= share)).alias("safe"), "length_ratio")
     return near.where(F.col("similarity") >= similarity)
 
 
+def signature_similarity(a: Column, b: Column) -> Column:
+    """Share of equal components; two empty signatures are equal, different lengths an error."""
+    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+    return F.when(F.size(a) != F.size(b), F.raise_error(F.lit("signatures of different lengths"))).when(F.size(a) == 0, F.lit(1.0)).otherwise(same / F.size(a))
+
+
+def report(found: DataFrame) -> DataFrame:
+    """For each class with earlier near ones: how many, how many safe, and the best.
+
+    Matches are ordered by similarity, then length ratio, then id; a class is
+    removable if one match is safe, and ambiguous matches are the others.
+    """
+    key = F.struct((-F.col("similarity")).alias("less"), (-F.col("length_ratio")).alias("shorter"), F.col("a").alias("id"))
+    best = found.groupBy(F.col("b").alias("doc_id")).agg(F.count(F.lit(1)).alias("matches"), F.count_if("safe").alias("safe"), F.count_if(~F.col("safe")).alias("ambiguous"), F.min(key).alias("best"))
+    return best.select("doc_id", "matches", "safe", "ambiguous", F.col("best.id").alias("best_id"), (-F.col("best.less")).alias("best_similarity"), (F.col("safe") > 0).alias("would_remove"))
+
+
 def audit(feats: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, near, safe): whether an earlier document is near, and safely so."""
     member = feats.withColumn("set", F.sha2(F.array_join(F.transform("grams", lambda x: x.cast("string")), ","), 256)).select("doc_id", "set")

@@ -7,8 +7,10 @@ distributed, with the merges broadcast.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
+import os
 import sys
 import unicodedata
 from collections.abc import Iterable, Sequence
@@ -16,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +109,8 @@ class Tokenizer:
     def __post_init__(self) -> None:
         if len(set(self.specials)) != len(self.specials) or not all(self.specials):
             raise ValueError("special tokens must be distinct and not empty")
+        if any(normal(t) != t for t in self.specials):
+            raise ValueError("special tokens must be in normal form")
         if 256 + len(self.merges) > self.size - len(self.specials):
             raise ValueError("the vocabulary has no room for the special tokens")
         if len(set(map(tuple, self.merges))) != len(self.merges):
@@ -174,6 +179,47 @@ class Tokenizer:
         rows = [[a, b, 256 + i] for i, (a, b) in enumerate(self.merges)]
         return json.dumps({"version": 1, "size": self.size, "specials": list(self.specials), "merges": rows}, ensure_ascii=False)
 
+    def digest(self) -> str:
+        """The identity of a tokenizer: a digest of its whole state."""
+        return hashlib.sha256(json.dumps(json.loads(self.to_json()), sort_keys=True).encode()).hexdigest()
+
+    def save(self, folder: str, report: dict | None = None) -> None:
+        """The artifacts: tokenizer, config, vocabulary, merges and training report, each readable alone."""
+        os.makedirs(folder, exist_ok=True)
+        vocabulary = [{"id": i, "hex": v.hex()} for i, v in enumerate(self.vocabulary)] + [{"id": self.special_id(t), "special": t} for t in self.specials]
+        files = {
+            "tokenizer.json": self.to_json(),
+            "config.json": json.dumps({"size": self.size, "merges": len(self.merges), "specials": list(self.specials), "sha256": self.digest()}),
+            "vocab.json": json.dumps(vocabulary),
+            "merges.json": json.dumps([[a, b, 256 + i] for i, (a, b) in enumerate(self.merges)]),
+            "training_report.json": json.dumps(report or {}),
+        }
+        for name, content in files.items():
+            with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+                f.write(content)
+        if Tokenizer.load(folder) != self:
+            raise ValueError(f"{folder} doesn't give back what was saved")
+
+    @classmethod
+    def load(cls, folder: str) -> Tokenizer:
+        with open(f"{folder}/tokenizer.json", encoding="utf-8") as f:
+            return cls.from_json(f.read())
+
+    def id_to_token(self, i: int) -> bytes | str:
+        first = self.size - len(self.specials)
+        if not 0 <= i < self.size or len(self.vocabulary) <= i < first:
+            raise ValueError(f"id {i} isn't assigned")
+        return self.specials[i - first] if i >= first else self.vocabulary[i]
+
+    def decode_document(self, ids: Sequence[int]) -> str:
+        """The text of a framed document; anything else than <bos> content <eos> is an error."""
+        first = self.size - len(self.specials)
+        if len(ids) < 2 or ids[0] != self.special_id("<|bos|>") or ids[-1] != self.special_id("<|eos|>"):
+            raise ValueError("a document starts with <|bos|> and ends with <|eos|>")
+        if any(i >= first for i in ids[1:-1]):
+            raise ValueError("a special token inside a document")
+        return self.decode(ids[1:-1])
+
     @classmethod
     def from_json(cls, payload: str) -> Tokenizer:
         state = json.loads(payload)
@@ -215,13 +261,28 @@ def well_framed(ids: Column, tokenizer: Tokenizer) -> Column:
     return (F.get(ids, F.lit(0)) == tokenizer.special_id("<|bos|>")) & (F.element_at(ids, -1) == tokenizer.special_id("<|eos|>")) & (F.size(ids) >= 2) & F.forall(inner, lambda x: (x >= 0) & (x < first))
 
 
+def _count_pairs(batches):
+    """Neighbouring bytes of all texts of a task, in one table of 65,536 places."""
+    total = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        column = batch.column(0).cast(pa.large_binary())
+        _, ends, data = column.buffers()
+        ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+        if len(raw) > 1:
+            pair = raw[:-1].astype(np.int64) * 256 + raw[1:]
+            inside = np.ones(len(pair), bool)
+            cuts = ends[1:-1] - ends[0] - 1
+            inside[cuts[(cuts >= 0) & (cuts < len(pair))]] = False
+            total += np.bincount(pair[inside], minlength=1 << 16)
+    own = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(own // 256), pa.array(own % 256), pa.array(total[own])], ["left_byte", "right_byte", "n"])
+
+
 def byte_pair_counts(docs: DataFrame) -> DataFrame:
-    """(left, right, n) of neighbouring bytes, combined before the shuffle."""
-    codes = F.transform(F.regexp_extract_all(F.hex(F.encode("text", "UTF-8")), F.lit("[0-9A-F]{2}"), F.lit(0)), lambda h: F.conv(h, 16, 10).cast("int"))
-    bound = docs.select(codes.alias("b")).where(F.size("b") > 1)
-    pairs = F.transform(F.sequence(F.lit(0), F.size("b") - 2), lambda i: F.get(F.col("b"), i) * 256 + F.get(F.col("b"), i + 1))
-    counted = bound.select(F.explode(pairs).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(F.floor(F.col("p") / 256).cast("long").alias("left_byte"), F.pmod("p", F.lit(256)).cast("long").alias("right_byte"), "n")
+    """(left_byte, right_byte, n) of neighbouring bytes; a task gives one row for each pair at most."""
+    parts = docs.where("text IS NOT NULL").select("text").mapInArrow(_count_pairs, "left_byte long, right_byte long, n long")
+    return parts.groupBy("left_byte", "right_byte").agg(F.sum("n").alias("n"))
 
 
 def usage(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -233,3 +294,26 @@ def usage(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     vocabulary = encoded.sparkSession.createDataFrame(list(enumerate(sizes)), "id int, byte_length int")
     out = counts.join(vocabulary, "id", "left").withColumn("kind", kind)
     return out.select("id", "kind", "byte_length", length_bucket(F.col("byte_length")).alias("bucket"), "n")
+
+
+def compression(encoded: DataFrame, category: str) -> DataFrame:
+    """Per category, and for all as null: documents, bytes, tokens, bytes a token, round trips that hold.
+
+    ``encoded`` has ``text``, ``ids`` (unframed) and ``back``, the decoded text.
+    """
+    size = F.size("ids").cast("long")
+    return encoded.rollup(category).agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum(F.octet_length("text")).cast("long").alias("utf8_bytes"),
+        F.sum(size).alias("tokens"),
+        F.round(F.try_divide(F.sum(F.octet_length("text")), F.sum(size)), 6).alias("bytes_per_token"),
+        F.count_if(F.col("back") == F.col("text")).alias("round_trips"),
+        F.bool_and(F.col("back") == F.col("text")).alias("all_round_trip"),
+    )
+
+
+def utilization(counts: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """Of ``usage``: ids used and unused of each kind, and the longest used piece."""
+    known = {"byte": 256, "bpe": len(tokenizer.merges), "special": len(tokenizer.specials)}
+    used = counts.groupBy("kind").agg(F.count(F.lit(1)).alias("used"), F.sum("n").alias("occurrences"), F.max(F.struct("byte_length", "n", (-F.col("id")).alias("id"))).alias("top"))
+    return used.select("kind", "used", (F.element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), F.col("kind")) - F.col("used")).alias("unused"), "occurrences", "top.byte_length", (-F.col("top.id")).alias("longest_id"))

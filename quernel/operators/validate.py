@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernel.functions import text as T
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def checks(rows: DataFrame, predicates: dict[str, Column]) -> DataFrame:
     """A row for each predicate: PASS, FAIL, or SKIP for an empty table."""
@@ -83,3 +90,18 @@ def same_stamp(ours: DataFrame, frozen: DataFrame, key: str) -> DataFrame:
     frozen = frozen.select(F.col(key).alias("frozen_key"), F.struct(*[c for c in frozen.columns if c != key]).alias("then"))
     joined = ours.join(frozen, F.col(key) == F.col("frozen_key"), "full_outer")
     return joined.where(~F.col("now").eqNullSafe(F.col("then"))).select(F.coalesce(key, "frozen_key").alias(key), "now", "then")
+
+
+def reconciled(counts: DataFrame) -> DataFrame:
+    """(measure, sources, smallest, largest, agree) from (source, measure, value): every source must tell the same."""
+    return counts.groupBy("measure").agg(F.count(F.lit(1)).alias("sources"), F.min("value").alias("smallest"), F.max("value").alias("largest"), (F.count_distinct("value") == 1).alias("agree"))
+
+
+def canonical_lines(lines: DataFrame) -> DataFrame:
+    """Adds ``canonical``: a JSON line is what a compact writer that keeps key order and Unicode would give."""
+
+    @F.pandas_udf("boolean")
+    def same(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: x is not None and json.dumps(json.loads(x), ensure_ascii=False, separators=(",", ":")) == x)
+
+    return lines.withColumn("canonical", same("value"))

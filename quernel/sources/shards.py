@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,7 +42,7 @@ class _File(InputPartition):
 
 
 class TokenShards(DataSource):
-    """Columns position (long) and token (int); options path, split, vocabulary."""
+    """Columns position (long) and token (int); options path, split, vocabulary, and start and count of a range."""
 
     @classmethod
     def name(cls) -> str:
@@ -52,19 +52,23 @@ class TokenShards(DataSource):
         return "position long, token int"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], int(self.options.get("vocabulary", 65536)))
+        return _Reader(self.options["path"], int(self.options.get("vocabulary", 65536)), int(self.options.get("start", 0)), int(self.options.get("count", -1)))
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(self.options["path"], self.options.get("split", "train"), int(self.options.get("pershard", 1_000_000)), int(self.options.get("vocabulary", 65536)), overwrite)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, vocabulary: int) -> None:
-        self.path, self.vocabulary = path, vocabulary
+    def __init__(self, path: str, vocabulary: int, start: int, count: int) -> None:
+        self.path, self.vocabulary, self.start, self.count = path, vocabulary, start, count
 
     def partitions(self):
         manifest = load_manifest(self.path)
-        return [_File(f"{self.path}/{s['filename']}", s["index"], s["token_start"], s["sha256"]) for s in manifest["shards"]]
+        past = manifest["total_tokens"] if self.count < 0 else self.start + self.count
+        if self.start < 0 or past > manifest["total_tokens"]:
+            raise ValueError(f"{self.path} has no tokens from {self.start} to {past}")
+        # the manifest says which shards a range needs; the others aren't opened
+        return [_File(f"{self.path}/{s['filename']}", s["index"], s["token_start"], s["sha256"]) for s in manifest["shards"] if s["token_end"] > self.start and s["token_start"] < past]
 
     def read(self, part):
         import pyarrow as pa
@@ -76,12 +80,14 @@ class _Reader(DataSourceReader):
         ids = np.frombuffer(raw, "<u2")
         if len(ids) and ids.max() >= self.vocabulary:
             raise ValueError(f"{part.path} has a token outside the vocabulary")
-        for k in range(0, len(ids), 100_000):
-            piece = ids[k : k + 100_000]
+        first = max(0, self.start - part.start)
+        past = len(ids) if self.count < 0 else min(len(ids), self.start + self.count - part.start)
+        for k in range(first, past, 100_000):
+            piece = ids[k : min(past, k + 100_000)]
             yield pa.RecordBatch.from_arrays([pa.array(part.start + k + np.arange(len(piece))), pa.array(piece.astype(np.int32))], ["position", "token"])
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str, split: str, per_shard: int, vocabulary: int, overwrite: bool) -> None:
         if not split.replace("-", "").replace("_", "").isalnum():
             raise ValueError("a split's name has letters, digits, - and _")
@@ -90,14 +96,14 @@ class _Writer(DataSourceWriter):
         self.path, self.split, self.per_shard, self.vocabulary = path, split, per_shard, vocabulary
         self.stage = f"{path}.stage-{uuid.uuid4().hex}"
 
-    def write(self, rows):
-        """Rows of one shard, in order: a partition is a shard."""
-        rows = list(rows)
-        if not rows:
+    def write(self, batches):
+        """Batches of one shard, in order: a partition is a shard."""
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if not parts:
             return _Written(-1, 0, "", "")
-        first = rows[0].position
-        ids = np.array([r.token for r in rows], np.int64)
-        if first % self.per_shard or len(ids) > self.per_shard or any(r.position != first + i for i, r in enumerate(rows)):
+        places, ids = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
+        first = int(places[0])
+        if first % self.per_shard or len(ids) > self.per_shard or (places != first + np.arange(len(ids))).any():
             raise ValueError("a partition must be one shard's tokens in order")
         if ids.min() < 0 or ids.max() >= min(self.vocabulary, 65536):
             raise ValueError("a token lies outside the vocabulary")
@@ -176,8 +182,9 @@ def read(spark: SparkSession, path: str, vocabulary: int = 65536) -> DataFrame:
     return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).load()
 
 
-def token_range(stream: DataFrame, start: int, count: int) -> DataFrame:
-    """Tokens from ``start``, across shards; ranges beyond the stream are errors of the caller."""
+def token_range(spark: SparkSession, path: str, start: int, count: int, vocabulary: int = 65536) -> DataFrame:
+    """Tokens from ``start``, across shards; only the shards of the range are read."""
     if start < 0 or count < 0:
         raise ValueError("a range can't be negative")
-    return stream.where((stream.position >= start) & (stream.position < start + count))
+    spark.dataSource.register(TokenShards)
+    return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).option("start", start).option("count", count).load()

@@ -1,6 +1,7 @@
 """Dedup, decontamination, splits, packing, tokens, sampling, sources."""
 
 import gzip
+import hashlib
 import json
 import random
 
@@ -75,7 +76,7 @@ def test_windows(spark, context):
     flat = [t for _, ids in docs for t in ids]
     want = {i: flat[i * context : i * context + context + 1] for i in range((len(flat) - 1) // context)}
     df = spark.createDataFrame(docs, "doc_id long, ids array<int>").withColumn("n_tokens", F.size("ids").cast("long"))
-    placed = dataset.offsets(df, "doc_id", "n_tokens", block_rows=4)
+    placed = dataset.offsets(df, "doc_id", "n_tokens")
     got = {r.window_id: list(r.inputs) + [r.targets[-1]] for r in dataset.windows(placed, context).collect()}
     assert got == want
 
@@ -176,11 +177,23 @@ def test_weighted_selection_reaches_its_target(spark):
     rows = [("a" if i % 3 else "b", i, 10 + i % 7) for i in range(90)]
     docs = spark.createDataFrame(rows, "category string, doc_id long, n_bytes long")
     shares = sampling.normal_weights({"a": 1, "b": 3}, ["a", "b"])
-    first = sampling.quota_pass(docs, spark.createDataFrame(list(shares.items()), "category string, share double"), 900)
-    more = sampling.fill_up(docs, first, shares, 900)
-    size = {i: n for _, i, n in rows}
-    picked = [r.doc_id for r in first.collect()] + [i for _, i in more]
-    assert len(set(picked)) == len(picked) and 900 <= sum(size[i] for i in picked) < 900 + 2 * 17
+    table = spark.createDataFrame(list(shares.items()), "category string, share double")
+    for target in (900, 1150):
+        first = sampling.quota_pass(docs, table, target)
+        more = [r.doc_id for r in sampling.fill_up(docs, first, table, target).collect()]
+        size, name = {i: n for _, i, n in rows}, {i: c for c, i, _ in rows}
+        picked = [r.doc_id for r in first.collect()]
+        # the second pass one choice at a time
+        key = lambda i: hashlib.sha256(f"42:{name[i]}:{i}".encode()).hexdigest()
+        taken = {c: sum(size[i] for i in picked if name[i] == c) for c in shares}
+        left = {c: sorted((i for i in size if name[i] == c and i not in picked), key=key) for c in shares}
+        wanted = []
+        while sum(taken.values()) < target and any(left.values()):
+            c = min((c for c in left if left[c]), key=lambda c: (taken[c] / max(target * shares[c], 1.0), c))
+            i = left[c].pop(0)
+            wanted.append(i)
+            taken[c] += size[i]
+        assert sorted(more) == sorted(wanted)
 
 
 def test_web_records(spark, tmp_path):
@@ -201,7 +214,10 @@ def test_token_shards(spark, tmp_path):
     manifest = shards.write(stream, path, "train", per_shard=1000, vocabulary=1000)
     assert [s["token_count"] for s in manifest["shards"]] == [1000, 1000, 500]
     assert [r.token for r in shards.read(spark, path, 1000).orderBy("position").collect()] == ids
-    assert [r.token for r in shards.token_range(shards.read(spark, path), 990, 20).orderBy("position").collect()] == ids[990:1010]
+    assert [r.token for r in shards.token_range(spark, path, 990, 20).orderBy("position").collect()] == ids[990:1010]
+    assert shards.token_range(spark, path, 1200, 300).rdd.getNumPartitions() == 1
+    with pytest.raises(Exception, match="no tokens"):
+        shards.token_range(spark, path, 2400, 200).count()
     with pytest.raises(Exception, match="already"):
         shards.write(stream, path, "train", per_shard=1000)
     raw = (tmp_path / "train" / "train-00001.bin").read_bytes()

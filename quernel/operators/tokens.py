@@ -13,7 +13,7 @@ import json
 import os
 import sys
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -234,22 +234,27 @@ def normal(text: str) -> str:
 
 def encoder(spark, tokenizer: Tokenizer, framed: bool = True):
     """A vectorised function text -> array<int>."""
-    shared = spark.sparkContext.broadcast(tokenizer)
+    # as JSON: executors need no copy of this package to read it
+    shared = spark.sparkContext.broadcast(tokenizer.to_json())
 
     @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series) -> pd.Series:
-        t = shared.value
-        return texts.map(lambda x: None if x is None else (t.encode_document(x) if framed else t.encode(x)))
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        t = Tokenizer.from_json(shared.value)
+        one = t.encode_document if framed else t.encode
+        for texts in batches:
+            yield texts.map(lambda x: None if x is None else one(x))
 
     return encode
 
 
 def decoder(spark, tokenizer: Tokenizer, skip_special: bool = True):
-    shared = spark.sparkContext.broadcast(tokenizer)
+    shared = spark.sparkContext.broadcast(tokenizer.to_json())
 
     @F.pandas_udf("string")
-    def decode(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: None if x is None else shared.value.decode(list(x), skip_special))
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        t = Tokenizer.from_json(shared.value)
+        for ids in batches:
+            yield ids.map(lambda x: None if x is None else t.decode(list(x), skip_special))
 
     return decode
 

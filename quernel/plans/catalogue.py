@@ -13,7 +13,7 @@ from quernel.functions import quality as Q
 from quernel.functions import text as T
 from quernel.operators import build, corpus, dataset, near, sampling, tokens, validate
 from quernel.plans.oracles import ORACLES, PROBES
-from quernel.session import load, shared_dir, stored
+from quernel.session import dealt, load, shared_dir, stored
 from quernel.sources import readers, writers
 
 #: Categories' weights, budgets and sizes that the sample queries use.
@@ -22,7 +22,7 @@ CONTEXT, SHARD = 2048, 1_000_000
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.prepared(load(spark, d, "documents"))
+    return corpus.prepared(dealt(load(spark, d, "documents")))
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:

@@ -95,6 +95,16 @@ def _hadoop(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+#: Bytes of a table that ``dealt`` moves; a larger one has row groups for all cores.
+SMALL_TABLE = 1 << 30
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A small table dealt evenly over the cores, as it may be a single row group; a larger one as it is stored."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_TABLE else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test layout, through Spark's reader only."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

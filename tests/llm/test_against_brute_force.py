@@ -101,6 +101,16 @@ def test_language_model(spark):
         assert r.score == pytest.approx(model.score(t), abs=1e-6)
 
 
+def test_language_model_tells_contexts_of_two_words_apart(spark):
+    """All words and bigrams are as frequent in either text, only their trigrams differ."""
+    texts = ["a b c", "d b e"] * 20 + ["a b e", "d b c"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    model = brute.Backoff([t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1], 3)
+    found = {r.doc_id: r.score for r in lm_score.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == pytest.approx(model.score(t), abs=1e-6) for i, t in rows)
+    assert min(found[0], found[1]) > max(found[40], found[41]) + 0.3
+
+
 @pytest.mark.parametrize(("order", "most"), [(2, 40), (3, 40), (3, 10**6), (1, 5)])
 def test_language_model_whatever_the_scan_carries(spark, monkeypatch, order, most):
     """Every n-gram that occurs twice is in the model, however few of them the scan carries."""

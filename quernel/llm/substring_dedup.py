@@ -25,7 +25,9 @@
 
 Of passages with 5 to 25 % of the words of one copy replaced at random, 92 to
 100 % of the words are found in the test; where both copies are edited, a rate
-of 15 % each. A range ends where its leader's text goes another way. If a third document
+of 15 % each (measured before step 2 compared more than leaders). Missed can be a
+pair whose seeds all have more than ``CROWD`` places, if neither neighbours nor
+a leader bring it together. A range ends where its leader's text goes another way. If a third document
 shares more than the leader of the last wide seed does, the range can end up
 to ``K_WORDS + WINDOW`` words early at that side.
 
@@ -42,7 +44,7 @@ count; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +54,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernel.llm import _kernels as K
-from quernel.session import stored
+from quernel.session import forget, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -62,6 +64,9 @@ K_WORDS, WINDOW, WIDE = 5, 10, 5
 GAP, MARGIN, IDENTITY, MIN_RANGE, MIN_WORDS = 0.1, 64, 0.6, 16, 40
 #: What a differing word costs an extension, in matching words.
 MISS = 1.4
+#: Places of a seed up to which all different texts meet; words compared around
+#: those of a more frequent one, and differing words that its orders leave out.
+CROWD, AROUND, SKIPS = 10, 16, (0, 1, 3)
 #: Ids up to this number are broadcast (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -284,6 +289,79 @@ def _align(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
 
 
+def _around(batches):
+    """The words before (backwards) and behind each place, ``AROUND`` of each in 4 bytes; 0 where the text ends."""
+    for batch in batches:
+        for lo, hi, h, at, _ in K.hashed_words(batch.column(1)):
+            word = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            places = batch.column(2).slice(lo, hi - lo)
+            sizes = places.value_lengths().to_numpy()
+            flat = places.flatten()
+            seed, pos = flat.field(0), flat.field(1).to_numpy()
+            own = np.repeat(np.arange(hi - lo), sizes)
+            first, past = at[own], at[own + 1]
+            known = pos + K_WORDS <= past - first  # else another text under the same id
+            seed, pos, own, first, past = seed.filter(pa.array(known)), pos[known], own[known], first[known], past[known]
+            step = np.arange(AROUND)
+            sides = []
+            for where in ((first + pos - 1)[:, None] - step, (first + pos + K_WORDS)[:, None] + step):
+                inside = (where >= first[:, None]) & (where < past[:, None])
+                value = np.where(inside, word[np.where(inside, where, 0)] if len(word) else 0, 0).astype(np.int32)
+                ends = np.arange(len(pos) + 1, dtype=np.int32) * 4 * AROUND
+                sides.append(pa.BinaryArray.from_buffers(pa.binary(), len(pos), [None, pa.py_buffer(ends), pa.py_buffer(value.tobytes())]))
+            docs = batch.column(0).slice(lo, hi - lo).take(pa.array(own)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([seed, docs, pa.array(pos, pa.int32()), *sides], ["seed", "doc", "pos", "before", "behind"])
+
+
+def _reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Words by which each row can go on at a profit, as ``_extension`` does."""
+    gain = np.cumsum(np.where((x == y) & (x != 0), 1.0, -MISS), 1)
+    best = gain.argmax(1)
+    return np.where(gain[np.arange(len(x)), best] > 0, best + 1, 0)
+
+
+def _near(batches):
+    """Pairs of neighbours that share ``MIN_RANGE`` words on the diagonal of their seed."""
+    for batch in batches:
+        named = {name: batch.column(name) for name in batch.schema.names}
+        rows = lambda name: np.frombuffer(b"".join(named[name].to_pylist()), np.int32).reshape(-1, AROUND)  # noqa: B023, E731
+        if not batch.num_rows:
+            continue
+        n = K_WORDS + _reach(rows("before"), rows("other_before")) + _reach(rows("behind"), rows("other_behind"))
+        doc, other, pos, other_pos = (named[k].to_numpy() for k in ("doc", "other", "pos", "other_pos"))
+        last = doc > other  # the smaller document leads
+        columns = [np.where(last, doc, other), np.where(last, other, doc), np.where(last, pos, other_pos), np.where(last, other_pos, pos)]
+        yield pa.RecordBatch.from_arrays([pa.array(x[n >= MIN_RANGE]) for x in columns], ["doc", "leader", "pos", "leader_pos"])
+
+
+def crossed(places: DataFrame) -> DataFrame:
+    """(doc, leader, pos, leader_pos): all pairs of places of a seed but those with its first place."""
+    lists = places.groupBy("seed").agg(F.sort_array(F.collect_list(F.struct("doc", "pos"))).alias("m"))
+    one = lists.select("m", F.posexplode("m").alias("i", "x")).where("i > 1")
+    two = one.select("x", F.explode(F.slice("m", F.lit(2), F.col("i") - 1)).alias("y")).where("x.doc <> y.doc")
+    return two.select(F.col("x.doc").alias("doc"), F.col("y.doc").alias("leader"), F.col("x.pos").alias("pos"), F.col("y.pos").alias("leader_pos"))
+
+
+def neighbours(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, leader, pos, leader_pos): places of a seed that are next to each other by the words around."""
+    by_doc = places.groupBy("doc").agg(F.collect_list(F.struct("seed", "pos")).alias("places"))
+    texts = docs.join(by_doc, docs.doc_id == by_doc.doc).select("doc_id", "text", "places")
+    around = stored(texts.mapInArrow(_around, "seed long, doc long, pos int, before binary, behind binary"), "around")
+    found = []
+    for side in ("before", "behind"):
+        for skip in SKIPS:
+            # written one by one, so that the shuffle files of one order are there at a time
+            order = Window.partitionBy("seed").orderBy(F.expr(f"substring({side}, {4 * skip + 1})"), "doc", "pos")
+            ahead = around.withColumn("z", F.lag(F.struct("doc", "pos", "before", "behind")).over(order)).where("z.doc <> doc")
+            # a run of two words on the side that is sorted by, else nothing goes on there
+            ahead = ahead.where(F.expr(f"substring({side}, {4 * skip + 1}, 8) = substring(z.{side}, {4 * skip + 1}, 8)"))
+            pairs = ahead.select("doc", "pos", "before", "behind", *[F.col(f"z.{k}").alias(v) for k, v in (("doc", "other"), ("pos", "other_pos"), ("before", "other_before"), ("behind", "other_behind"))])
+            found.append(stored(pairs.mapInArrow(_near, "doc long, leader long, pos int, leader_pos int"), "neighbours"))
+    out = stored(reduce(DataFrame.unionByName, found).distinct(), "neighbour-pairs")
+    forget(around, *found)
+    return out
+
+
 def alignments(docs: DataFrame) -> DataFrame:
     """(doc, leader, first, past, leader_first, leader_past, matches, identity), in words."""
     K.small_batches(docs.sparkSession)
@@ -293,12 +371,21 @@ def alignments(docs: DataFrame) -> DataFrame:
     # written first: a join can only split a hot seed if its sides come straight from their exchanges
     shared = stored(shared, "shared-seeds")
     matched = stored(seeds.join(shared, "seed"), "seeds")
+    forget(shared)
     # the leader's first place of a seed; a seed repeated inside the leader is one place
     head = stored(matched.where("doc = leader").groupBy("seed").agg(F.min("pos").alias("leader_pos")), "leader-seeds")
-    pairs = matched.where("doc <> leader").join(head, "seed").groupBy("doc", "leader").agg(F.collect_list(F.struct("pos", "leader_pos")).alias("m"))
+    led = matched.where("doc <> leader").join(head, "seed").select("doc", "leader", "pos", "leader_pos")
+    # copies of a text have the matches of the first of them
+    firsts = docs.groupBy(F.xxhash64("text"), F.length("text")).agg(F.min("doc_id").alias("doc")).select("doc").distinct()
+    places = matched.join(firsts, "doc", "left_semi").select("seed", "doc", "pos")
+    sizes = places.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least"), F.max("doc").alias("most")).where("n > 2 AND least <> most").select("seed", "n")
+    places = stored(places.join(sizes, "seed"), "seed-places")
+    near = neighbours(places.where(F.col("n") > CROWD), docs)
+    pairs = led.unionByName(crossed(places.where(F.col("n") <= CROWD))).unionByName(near).groupBy("doc", "leader").agg(F.collect_list(F.struct("pos", "leader_pos")).alias("m"))
     pairs = pairs.select("doc", "leader", F.col("m.pos").alias("a"), F.col("m.leader_pos").alias("b"))
     found = pairs.mapInArrow(_chain, "doc long, leader long, lo int, hi int, leader_lo int, leader_hi int, segments array<int>")
     found = stored(found, "chains")
+    forget(matched, head, places, near)
     ids = stored(found.select(F.col("doc").alias("id")).unionByName(found.select(F.col("leader").alias("id"))).distinct(), "chain-ids")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.join(side, docs.doc_id == side.id, "left_semi")

@@ -265,6 +265,21 @@ def test_two_passages_of_one_pair_are_reported(spark, n, between):
     assert found == [(i, a, a + n) for i in range(2) for a in (0, n + between)]
 
 
+@pytest.mark.parametrize("others", [1, 14])
+def test_passages_that_no_leader_shares(spark, others):
+    """Two documents share an edited passage, and smaller ones hold its runs apart from each other."""
+    new = iter(range(10**6))
+    runs = [[f"r{k}w{i}" for i in range(9)] for k in range(7)]
+    far = lambda n: [f"u{next(new)}" for _ in range(n)]
+    docs = [sum((run + far(100) for run in runs[::-1]), []) for _ in range(others)]
+    spots = {}
+    for _ in range(2):
+        spots[len(docs)] = (30, 30 + 69)
+        docs.append(far(30) + sum((run + far(1) for run in runs), [])[:-1] + far(30))
+    found = substring_dedup.query(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.first_word, r.past_word) for r in found} == spots
+
+
 def test_overlapping_runs_are_reported(spark):
     """Brute force: runs of 50 words that two documents share, where every document cuts them elsewhere.
 

@@ -23,6 +23,12 @@ them leave the scan with the number of their row and meet the rest of the arcs
 in a shuffle join, and so do rare words. This decides where a value is found,
 never what it is.
 
+An n-gram that repeats consists of n-grams that repeat, so a bitmap of the kept
+keys of each order (``_sieve``) spares the counts of the next order and the
+scan most keys without a value before they are shuffled. A bitmap has no false
+negatives and at most ``SIEVE`` bits: with more keys than that it fills up and
+spares less, and results don't change.
+
 Smoothing is absolute discounting with backoff; unigrams are the add-half
 estimates of the base model, so that all of them sum to one with an unknown
 word. Tokens are words of A-Z-lowered texts and one end for each document.
@@ -41,6 +47,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +66,8 @@ ORDER, DISCOUNT, FOLD = 3, 0.75, 1
 HOT = 1_000_000
 #: Occurrences from which an n-gram is in the model.
 LEAST = 2
+#: Bits of a bitmap of kept keys: ``SPARSE`` for each key, 2 ** ``SIEVE`` (64 MB) at most, made in 2 ** ``SLICES`` parts.
+SPARSE, SIEVE, SLICES = 8, 29, 6
 #: The token that ends each document; no word hashes are reserved, so it is one of 2 ** 64.
 END = np.uint64(0x5EED5EED5EED5EED)
 #: Counts that are told apart when the hot keys are chosen.
@@ -97,9 +106,16 @@ class _Sums:
     def take(self):
         if self.size:
             keys, *parts = (np.concatenate(x) for x in zip(*self.held, strict=True))
-            own, at, n = np.unique(keys, return_index=True, return_counts=True)
             self.held, self.size = [], 0
-            columns = [x[at] for x in parts] or [own]
+            if parts:
+                order = np.argsort(keys)
+                keys = keys[order]
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                n = np.diff(np.append(first, len(keys)))
+                columns = [x[order[first]] for x in parts]
+            else:
+                own, n = np.unique(keys, return_counts=True)
+                columns = [own]
             yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in columns], pa.array(n.astype(np.int64))], [*self.names, "n"])
 
 
@@ -128,15 +144,54 @@ def _levels(flat: np.ndarray, ends: np.ndarray, order: int) -> Iterator[tuple[np
         lower, within = keys, within[:-1] & within[1:]
 
 
-def _gram_counter(order: int) -> Callable:
-    """Counts (context, suffix) of the n-grams of one order."""
+def _holds(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in a bitmap: all that it was made of, and some others."""
+    at = keys >> np.uint64(64 - (8 * len(sieve)).bit_length() + 1)
+    return (sieve[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+
+
+def _slices(bits: int) -> Callable:
+    """Parts of a bitmap of 2 ** ``bits``, by the first bits of the keys in them."""
+
+    def build(batches):
+        own = 1 << (bits - SLICES)
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            for part in np.unique(at // np.uint64(own)).tolist():
+                inside = at[at // np.uint64(own) == part] % np.uint64(own)
+                parts.setdefault(part, np.zeros(own, bool))[inside] = True
+        for part, held in parts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
+
+    return build
+
+
+def _sieve(keys: DataFrame) -> np.ndarray:
+    """A bitmap of the column ``key``, of bounded size."""
+    bits = min(SIEVE, max(SLICES + 3, (SPARSE * keys.count()).bit_length()))
+    # a part is made by one task, so that no task sends more than its parts
+    dealt = keys.select("key").repartition(1 << SLICES, F.shiftrightunsigned("key", 64 - SLICES))
+    sieve = np.zeros(1 << (bits - 3), np.uint8)
+    own = len(sieve) >> SLICES
+    found = dealt.mapInArrow(_slices(bits), "part int, bits binary").toArrow()
+    for part, held in zip(found.column("part").to_pylist(), found.column("bits"), strict=True):
+        sieve[part * own : (part + 1) * own] = np.frombuffer(held.as_buffer(), np.uint8)
+    return sieve
+
+
+def _gram_counter(order: int, shared) -> Callable:
+    """Counts (context, suffix) of the n-grams of one order whose parts are in the bitmap of the order below."""
 
     def count(batches):
+        sieve = shared.value
         sums = _Sums("ctx", "low")
         for batch in batches:
             for _, _, flat, ends in _tokens(batch.column(0)):
                 *_, (keys, context, suffix, _) = _levels(flat, ends, order)
-                sums.add(keys, context, suffix)
+                at = np.flatnonzero(_holds(sieve, context))
+                at = at[_holds(sieve, suffix[at])]
+                sums.add(keys[at], context[at], suffix[at])
                 if sums.size > HELD:
                     yield from sums.take()
         yield from sums.take()
@@ -155,11 +210,12 @@ class Model:
     """What a scan needs: totals, and the values of hot keys.
 
     ``hot`` has for each order the sorted keys, their counts and their values;
-    keys of order k are hot from ``least[k - 1]`` occurrences.
+    keys of order k are hot from ``least[k - 1]`` occurrences. ``sieves`` are the
+    bitmaps of the kept keys of the orders from 2.
     """
 
-    def __init__(self, total: int, vocabulary: int, least: list[int], hot: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
-        self.total, self.vocabulary, self.least, self.hot = total, vocabulary, least, hot
+    def __init__(self, total: int, vocabulary: int, least: list[int], hot: list[tuple[np.ndarray, np.ndarray, np.ndarray]], sieves: list[np.ndarray]) -> None:
+        self.total, self.vocabulary, self.least, self.hot, self.sieves = total, vocabulary, least, hot, sieves
         self.denominator = total + 0.5 * (vocabulary + 1)
 
 
@@ -182,30 +238,30 @@ def train(texts: DataFrame, order: int = ORDER, most: int = HOT) -> tuple[Model,
     denominator = sums.total + 0.5 * (sums.distinct + 1)
     # (key, n, p, gain) of the order below; gain is the value without the key's own backoff weight
     below = vocabulary.select("key", "n", ((F.col("n") + 0.5) / F.lit(denominator)).alias("p"), F.lit(0.0).alias("gain"))
-    values, spare = [], [vocabulary]
+    values, sieves, held = [], [], [vocabulary]
     for level in range(2, order + 1):
-        grams = texts.mapInArrow(_gram_counter(level), "ctx long, low long, n long").groupBy("ctx", "low").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+        repeated = below.where(F.col("n") >= LEAST)  # what an n-gram holds occurs as often as it does
+        shared = spark.sparkContext.broadcast(sieves[-1] if sieves else _sieve(repeated))
+        grams = texts.mapInArrow(_gram_counter(level, shared), "ctx long, low long, n long").groupBy("ctx", "low").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
         # each table is written, so that the joins and sums on its hot contexts can be split
         grams = stored(grams.mapInArrow(_with_keys, "key long, ctx long, low long, n long"), "lm-grams")
-        repeated = below.where(F.col("n") >= LEAST)  # what an n-gram holds occurs as often as it does
+        shared.destroy()
         joined = grams.join(repeated.select(F.col("key").alias("low"), F.col("p").alias("low_p")), "low").join(repeated.select(F.col("key").alias("ctx"), F.col("n").alias("ctx_n")), "ctx")
         joined = stored(joined.select("key", "ctx", "n", "low_p", ((F.col("n") - DISCOUNT) / F.col("ctx_n")).alias("p")), "lm-probabilities")
+        forget(grams)
         left, under = (F.greatest(1 - F.sum(c), F.lit(1e-12)) for c in ("p", "low_p"))
         backoff = stored(joined.groupBy("ctx").agg(F.log10(left / under).alias("backoff")), "lm-backoff")
-        values.append(_valued(below, backoff, level - 1))
-        spare += [grams, joined, backoff]
+        values.append(stored(_valued(below, backoff, level - 1), "lm-values"))
         gain = F.log10("p") - F.log10("low_p") - F.col("backoff")
         below = stored(joined.join(backoff, "ctx").select("key", "n", "p", gain.alias("gain")), "lm-gains")
-        spare.append(below)
+        forget(*held, joined, backoff)
+        held = [below]
+        sieves.append(_sieve(below))
     values.append(below.select("key", "n", F.lit(order).alias("level"), F.col("gain").alias("value")))
-    every = values[0]
-    for other in values[1:]:
-        every = every.unionByName(other)
-    every = stored(every, "lm-values")
-    forget(*spare)
+    every = reduce(DataFrame.unionByName, values)
     least = _hot_from(every, order, most)
     hot = [_arrays(every.where((F.col("level") == level) & (F.col("n") >= least[level - 1]))) for level in range(1, order + 1)]
-    return Model(sums.total, sums.distinct, least, hot), every
+    return Model(sums.total, sums.distinct, least, hot, sieves), every
 
 
 def _hot_from(values: DataFrame, order: int, most: int) -> list[int]:
@@ -238,7 +294,9 @@ def _found(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """(is it in the sorted table, its place there) for each key."""
     if not len(table):
         return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    order = np.argsort(keys)  # a search in order is several times faster
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
     return table[at] == keys, at
 
 
@@ -246,7 +304,7 @@ def _scorer(shared) -> Callable:
     """Rows of two kinds: one for each text, with what the scan found, and one for each key that it didn't."""
 
     def score(batches):
-        denominator, ((words, counts, weights), *grams) = shared.value
+        denominator, ((words, counts, weights), *grams), sieves = shared.value
         logp = np.log10((counts + 0.5) / denominator)
         unknown = math.log10(0.5 / denominator)
         for batch in batches:
@@ -258,7 +316,9 @@ def _scorer(shared) -> Callable:
                 known, base = total(hot, np.ones(int(hot.sum()))), total(hot, logp[at[hot]]) + total(~hot, np.full(int((~hot).sum()), unknown))
                 gain = total(hot, weights[at[hot]])
                 rare, owner, level = [flat[~hot]], [doc[~hot]], [np.ones(int((~hot).sum()), np.int8)]
-                for k, ((keys, _, _, first), (table, _, value)) in enumerate(zip(_levels(flat, ends, 1 + len(grams)), grams, strict=True), 2):
+                for k, ((keys, _, _, first), (table, _, value), sieve) in enumerate(zip(_levels(flat, ends, 1 + len(grams)), grams, sieves, strict=True), 2):
+                    kept = _holds(sieve, keys)
+                    keys, first = keys[kept], first[kept]
                     hot, at = _found(keys, table)
                     gain += total(first[hot], value[at[hot]])
                     rare.append(keys[~hot])
@@ -300,7 +360,7 @@ def score(docs: DataFrame, model: Model, values: DataFrame) -> DataFrame:
     K.small_batches(spark)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     # plain arrays: executors need no copy of this package to read them
-    shared = spark.sparkContext.broadcast((model.denominator, model.hot))
+    shared = spark.sparkContext.broadcast((model.denominator, model.hot, model.sieves))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"row long, key long, level byte, times int, n_tokens long, n_known long, base double, gain double, doc_id {kind}, held_out boolean"
     events = numbered.mapInArrow(_scorer(shared), schema)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,30 @@ def test_language_model_whatever_the_scan_carries(spark, monkeypatch, order, mos
         assert found[i].score == pytest.approx(model.score(t), abs=1e-6)
 
 
+def test_language_model_leaves_keys_without_a_value_in_the_scan(spark):
+    """N-grams that occur once are not shuffled, neither to count them nor to score them."""
+    texts = random_texts(150, random.Random(3))
+    frame = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    model, _ = lm_score.train(frame, order=3)
+    assert all(lm_score._holds(sieve, keys).all() and len(keys) for sieve, (keys, _, _) in zip(model.sieves, model.hot[1:], strict=True))
+    stream = [x for _, _, flat, ends in lm_score._tokens(pa.array(texts)) for x in lm_score._levels(flat, ends, 3)]
+    once = [np.setdiff1d(keys, model.hot[level][0]) for level, (keys, *_) in enumerate(stream, 1)]
+    passed = sum(int(lm_score._holds(sieve, keys).sum()) for sieve, keys in zip(model.sieves, once, strict=True))
+    assert passed < 0.3 * sum(map(len, once))
+
+
+@pytest.mark.parametrize("bits", [3, 9])
+def test_language_model_with_a_full_bitmap(spark, monkeypatch, bits):
+    """A bitmap that is too small spares less and changes no score."""
+    monkeypatch.setattr(lm_score, "SIEVE", lm_score.SLICES + bits)
+    texts = random_texts(150, random.Random(3))
+    model = brute.Backoff(texts, 3)
+    frame = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    carried, values = lm_score.train(frame, order=3, most=40)
+    found = {r.doc_id: r.score for r in lm_score.score(frame, carried, values).collect()}
+    assert all(found[i] == pytest.approx(model.score(t), abs=1e-6) for i, t in enumerate(texts))
+
+
 def test_language_model_sums_to_one():
     model = brute.Backoff(random_texts(60, random.Random(4), vocabulary=30))
     for context in [(), *list(model.kept)[:40]]:

@@ -67,7 +67,7 @@ HOT = 1_000_000
 #: Occurrences from which an n-gram is in the model.
 LEAST = 2
 #: Bits of a bitmap of kept keys: ``SPARSE`` for each key, 2 ** ``SIEVE`` (64 MB) at most, made in 2 ** ``SLICES`` parts.
-SPARSE, SIEVE, SLICES = 8, 29, 6
+SPARSE, SIEVE, SLICES = 16, 29, 6
 #: The token that ends each document; no word hashes are reserved, so it is one of 2 ** 64.
 END = np.uint64(0x5EED5EED5EED5EED)
 #: Counts that are told apart when the hot keys are chosen.
@@ -174,7 +174,9 @@ def _sieve(keys: DataFrame) -> np.ndarray:
     dealt = keys.select("key").repartition(1 << SLICES, F.shiftrightunsigned("key", 64 - SLICES))
     sieve = np.zeros(1 << (bits - 3), np.uint8)
     own = len(sieve) >> SLICES
-    found = dealt.mapInArrow(_slices(bits), "part int, bits binary").toArrow()
+    parts = stored(dealt.mapInArrow(_slices(bits), "part int, bits binary"), "lm-sieve")
+    found = parts.toArrow()
+    forget(parts)
     for part, held in zip(found.column("part").to_pylist(), found.column("bits"), strict=True):
         sieve[part * own : (part + 1) * own] = np.frombuffer(held.as_buffer(), np.uint8)
     return sieve
@@ -315,30 +317,38 @@ def _scorer(shared) -> Callable:
                 hot, at = _found(flat, words)
                 known, base = total(hot, np.ones(int(hot.sum()))), total(hot, logp[at[hot]]) + total(~hot, np.full(int((~hot).sum()), unknown))
                 gain = total(hot, weights[at[hot]])
-                rare, owner, level = [flat[~hot]], [doc[~hot]], [np.ones(int((~hot).sum()), np.int8)]
+                cold = [(flat[~hot], doc[~hot])]
+                passed = np.ones(len(flat), bool)  # tokens with which an n-gram of the order below starts whose parts were kept
                 for k, ((keys, _, _, first), (table, _, value), sieve) in enumerate(zip(_levels(flat, ends, 1 + len(grams)), grams, sieves, strict=True), 2):
+                    if k > 2:  # else its parts are words
+                        kept = passed[first] & passed[first + 1]
+                        keys, first = keys[kept], first[kept]
                     kept = _holds(sieve, keys)
                     keys, first = keys[kept], first[kept]
+                    passed[:] = False
+                    passed[first] = True
                     hot, at = _found(keys, table)
                     gain += total(first[hot], value[at[hot]])
-                    rare.append(keys[~hot])
-                    owner.append(doc[first[~hot]])
-                    level.append(np.full(len(rare[-1]), k, np.int8))
-                keys, owners, levels = np.concatenate(rare), np.concatenate(owner), np.concatenate(level)
-                order = np.lexsort((keys, owners))
-                keys, owners, levels = keys[order], owners[order], levels[order]
-                new = np.ones(len(keys), bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
-                place = np.flatnonzero(new)
-                times = np.diff(np.append(place, len(keys)))
+                    cold.append((keys[~hot], doc[first[~hot]]))
+                # by level, as columns that hardly change are small in a shuffle
+                events = [[], [], [], []]
+                for level, (keys, owners) in enumerate(cold, 1):
+                    order = np.lexsort((keys, owners))
+                    keys, owners = keys[order], owners[order]
+                    new = np.ones(len(keys), bool)
+                    new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
+                    place = np.flatnonzero(new)
+                    for column, x in zip(events, (keys[place], owners[place], np.full(len(place), level, np.int8), np.diff(np.append(place, len(keys)))), strict=True):
+                        column.append(x)
+                keys, owners, levels, times = (np.concatenate(x) for x in events)
                 rows = batch.column(0).slice(lo, hi - lo).to_numpy()
-                n, m = hi - lo, len(place)
+                n, m = hi - lo, len(keys)
                 found = lambda x, kind: pa.concat_arrays([pa.array(x, kind), pa.nulls(m, kind)])  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate((rows, rows[owners[place]]))),
-                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(keys[place].view(np.int64))]),
-                        pa.array(np.concatenate((np.zeros(n, np.int8), levels[place]))),
+                        pa.array(np.concatenate((rows, rows[owners]))),
+                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(keys.view(np.int64))]),
+                        pa.array(np.concatenate((np.zeros(n, np.int8), levels))),
                         pa.array(np.concatenate((np.ones(n, np.int32), times.astype(np.int32)))),
                         *[found(x, pa.int64()) for x in (size, known.astype(np.int64))],
                         *[found(x, pa.float64()) for x in (base, gain)],
@@ -366,7 +376,7 @@ def score(docs: DataFrame, model: Model, values: DataFrame) -> DataFrame:
     events = numbered.mapInArrow(_scorer(shared), schema)
     cold = None
     for level, least in enumerate(model.least, 1):
-        part = values.where((F.col("level") == level) & (F.col("n") < least)).select(F.col("key").alias("cold_key"), F.col("level").cast("byte").alias("cold_level"), "n", F.col("value").alias("worth"))
+        part = values.where((F.col("level") == level) & (F.col("n") < least)).select(F.col("key").alias("cold_key"), F.col("level").cast("byte").alias("cold_level"), (F.col("n") if level == 1 else F.lit(LEAST).cast("long")).alias("n"), F.col("value").alias("worth"))
         cold = part if cold is None else cold.unionByName(part)
     # rows of texts have no key; they are spread by their number
     at = F.coalesce("key", "row")

@@ -67,6 +67,8 @@ MISS = 1.4
 #: Places of a seed up to which all different texts meet; words compared around
 #: those of a more frequent one, and differing words that its orders leave out.
 CROWD, AROUND, SKIPS = 10, 16, (0, 1, 3)
+#: Places of a seed up to which its orders are made in memory, and places that are sorted at once.
+MANY, AT_ONCE = 10_000, 20_000
 #: Ids up to this number are broadcast (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -297,11 +299,11 @@ def _around(batches):
             places = batch.column(2).slice(lo, hi - lo)
             sizes = places.value_lengths().to_numpy()
             flat = places.flatten()
-            seed, pos = flat.field(0), flat.field(1).to_numpy()
+            seed, pos, size = flat.field(0), flat.field(1).to_numpy(), flat.field(2)
             own = np.repeat(np.arange(hi - lo), sizes)
             first, past = at[own], at[own + 1]
             known = pos + K_WORDS <= past - first  # else another text under the same id
-            seed, pos, own, first, past = seed.filter(pa.array(known)), pos[known], own[known], first[known], past[known]
+            seed, size, pos, own, first, past = seed.filter(pa.array(known)), size.filter(pa.array(known)), pos[known], own[known], first[known], past[known]
             step = np.arange(AROUND)
             sides = []
             for where in ((first + pos - 1)[:, None] - step, (first + pos + K_WORDS)[:, None] + step):
@@ -310,7 +312,7 @@ def _around(batches):
                 ends = np.arange(len(pos) + 1, dtype=np.int32) * 4 * AROUND
                 sides.append(pa.BinaryArray.from_buffers(pa.binary(), len(pos), [None, pa.py_buffer(ends), pa.py_buffer(value.tobytes())]))
             docs = batch.column(0).slice(lo, hi - lo).take(pa.array(own)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([seed, docs, pa.array(pos, pa.int32()), *sides], ["seed", "doc", "pos", "before", "behind"])
+            yield pa.RecordBatch.from_arrays([seed, size, docs, pa.array(pos, pa.int32()), *sides], ["seed", "n", "doc", "pos", "before", "behind"])
 
 
 def _reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -334,6 +336,48 @@ def _near(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[n >= MIN_RANGE]) for x in columns], ["doc", "leader", "pos", "leader_pos"])
 
 
+def _near_pairs(rows: pa.Table):
+    """What ``_near`` finds in all orders of whole seeds."""
+    seed, doc, pos = (rows.column(k).to_numpy() for k in ("seed", "doc", "pos"))
+    base = np.lexsort((pos, doc, seed))  # the orders are stable, so that ties are by doc and pos
+    seed, doc, pos = seed[base], doc[base], pos[base]
+    sides = [np.frombuffer(b"".join(rows.column(k).to_pylist()), np.int32).reshape(-1, AROUND)[base] for k in ("before", "behind")]
+    rank = np.cumsum(np.append(0, seed[1:] != seed[:-1])).astype(">u4").view(np.int32)[:, None]
+    pairs = []
+    for words in sides:
+        for skip in SKIPS:
+            key = np.ascontiguousarray(np.hstack([rank, words[:, skip:]]))
+            order = np.argsort(key.view(f"S{key.shape[1] * 4}")[:, 0], kind="stable")
+            z, i = order[:-1], order[1:]
+            ok = (seed[z] == seed[i]) & (doc[z] != doc[i]) & (words[z, skip : skip + 2] == words[i, skip : skip + 2]).all(1)
+            pairs.append(np.minimum(z, i)[ok] * len(seed) + np.maximum(z, i)[ok])
+    lead, other = np.divmod(np.unique(np.concatenate(pairs)), len(seed))  # by doc within a seed, so the first leads
+    if len(lead):
+        before, behind = sides
+        n = K_WORDS + _reach(before[other], before[lead]) + _reach(behind[other], behind[lead])
+        lead, other = lead[n >= MIN_RANGE], other[n >= MIN_RANGE]
+    columns = [doc[other], doc[lead], pos[other], pos[lead]]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "leader", "pos", "leader_pos"])
+
+
+def _near_sorted(batches):
+    """``_near_pairs`` of rows that come sorted by seed; some ``AT_ONCE`` and one seed are held."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < AT_ONCE:
+            continue
+        rows = pa.Table.from_batches(held)
+        seed = rows.column("seed").to_numpy()
+        whole = int(np.argmax(seed == seed[-1]))
+        if whole:
+            yield _near_pairs(rows.slice(0, whole))
+        held, size = rows.slice(whole).combine_chunks().to_batches(), len(seed) - whole
+    if size:
+        yield _near_pairs(pa.Table.from_batches(held))
+
+
 def crossed(places: DataFrame) -> DataFrame:
     """(doc, leader, pos, leader_pos): all pairs of places of a seed but those with its first place."""
     lists = places.groupBy("seed").agg(F.sort_array(F.collect_list(F.struct("doc", "pos"))).alias("m"))
@@ -344,9 +388,22 @@ def crossed(places: DataFrame) -> DataFrame:
 
 def neighbours(places: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, leader, pos, leader_pos): places of a seed that are next to each other by the words around."""
-    by_doc = places.groupBy("doc").agg(F.collect_list(F.struct("seed", "pos")).alias("places"))
+    by_doc = places.groupBy("doc").agg(F.collect_list(F.struct("seed", "pos", "n")).alias("places"))
     texts = docs.join(by_doc, docs.doc_id == by_doc.doc).select("doc_id", "text", "places")
-    around = stored(texts.mapInArrow(_around, "seed long, doc long, pos int, before binary, behind binary"), "around")
+    around = stored(texts.mapInArrow(_around, "seed long, n long, doc long, pos int, before binary, behind binary"), "around")
+    pairs = "doc long, leader long, pos int, leader_pos int"
+    dealt = around.where(F.col("n") <= MANY).drop("n").repartition("seed").sortWithinPartitions("seed")
+    found = [stored(dealt.mapInArrow(_near_sorted, pairs), "neighbours")]
+    many = around.where(F.col("n") > MANY)
+    if not many.isEmpty():
+        found += _ordered(many, pairs)
+    out = stored(reduce(DataFrame.unionByName, found).distinct(), "neighbour-pairs")
+    forget(around, *found)
+    return out
+
+
+def _ordered(around: DataFrame, schema: str) -> list[DataFrame]:
+    """Pairs of neighbours of seeds with any number of places, one table for each order."""
     found = []
     for side in ("before", "behind"):
         for skip in SKIPS:
@@ -356,10 +413,8 @@ def neighbours(places: DataFrame, docs: DataFrame) -> DataFrame:
             # a run of two words on the side that is sorted by, else nothing goes on there
             ahead = ahead.where(F.expr(f"substring({side}, {4 * skip + 1}, 8) = substring(z.{side}, {4 * skip + 1}, 8)"))
             pairs = ahead.select("doc", "pos", "before", "behind", *[F.col(f"z.{k}").alias(v) for k, v in (("doc", "other"), ("pos", "other_pos"), ("before", "other_before"), ("behind", "other_behind"))])
-            found.append(stored(pairs.mapInArrow(_near, "doc long, leader long, pos int, leader_pos int"), "neighbours"))
-    out = stored(reduce(DataFrame.unionByName, found).distinct(), "neighbour-pairs")
-    forget(around, *found)
-    return out
+            found.append(stored(pairs.mapInArrow(_near, schema), "neighbours"))
+    return found
 
 
 def alignments(docs: DataFrame) -> DataFrame:

@@ -230,6 +230,27 @@ def test_chat_windows(spark):
     assert all(seen[c] == [(r, t) for i, _, r, t in turns if i == c] for c in (1, 2)) and any(w.over_budget for w in rows)
 
 
+def test_substring_neighbours_in_memory_are_those_of_the_windows(spark, monkeypatch):
+    """A seed's orders are made in one pass if it has few places, and the pairs are the same."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(6)}"
+    sides = [([word() for _ in range(30)], [word() for _ in range(30)]) for _ in range(12)]
+    docs = []
+    for i in range(300):
+        before, behind = ([word() if rng.random() < 0.15 else w for w in side] for side in sides[i % 12])
+        docs.append((i, " ".join([*before[rng.randrange(30) :], *"one two three four five".split(), *behind[: rng.randrange(30)]])))
+    places = [(i % 7 // 6, i, len(t.split("one")[0].split()), 300) for i, t in docs]
+    frames = spark.createDataFrame(places, "seed long, doc long, pos int, n long"), spark.createDataFrame(docs, "doc_id long, text string")
+    calls = []
+    windows = substring_dedup._ordered
+    monkeypatch.setattr(substring_dedup, "_ordered", lambda *a: calls.append(1) or windows(*a))
+    monkeypatch.setattr(substring_dedup, "MANY", 299)
+    by_windows = sorted(map(tuple, substring_dedup.neighbours(*frames).collect()))
+    monkeypatch.setattr(substring_dedup, "MANY", 300)
+    assert sorted(map(tuple, substring_dedup.neighbours(*frames).collect())) == by_windows
+    assert len(by_windows) > 20 and calls == [1]
+
+
 def test_substring_passages(spark):
     rng = random.Random(11)
     filler = lambda n: [f"u{rng.randint(0, 10**9)}" for _ in range(n)]

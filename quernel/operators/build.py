@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quernel.functions import text as T
 from quernel.operators import dataset, tokens, validate
-from quernel.session import stored
+from quernel.session import small_batches, stored
 from quernel.sources import shards
 
 
@@ -28,6 +28,7 @@ def encoded(docs: DataFrame, tokenizer: tokens.Tokenizer, fraction: float, seed:
     Texts that are empty after normalisation go; blank ones stay.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     normal = docs.select("document_id", "split_group", T.normalize_text(F.col("text")).alias("text")).where("text <> ''")
     normal = stored(normal.select("*", F.length("text").cast("long").alias("n_chars"), F.octet_length("text").cast("long").alias("n_bytes")), "dataset-texts")
     plan = dataset.split_plan(normal.drop("text"), fraction, seed)
@@ -49,8 +50,8 @@ def build(docs: DataFrame, tokenizer: tokens.Tokenizer, out: str, fraction: floa
         os.makedirs(stage)
         splits = {}
         for row in dataset.stream_summary(placed, context).collect():  # one row for each split
-            stream = placed.where(F.col("split") == row.split).select("token_start", F.posexplode("ids").alias("k", "token"))
-            written = shards.write(stream.select((F.col("token_start") + F.col("k")).alias("position"), "token"), f"{stage}/{row.split}", row.split, per_shard, tokenizer.size)
+            stream = placed.where(F.col("split") == row.split).select(F.col("token_start").alias("position"), "ids")
+            written = shards.write(stream, f"{stage}/{row.split}", row.split, per_shard, tokenizer.size)
             splits[row.split] = row.asDict() | {"shards": len(written["shards"]), "stream_sha256": written["stream_sha256"]}
         manifest = {
             "tokenizer": {"size": tokenizer.size, "specials": list(tokenizer.specials), "sha256": tokenizer.digest()},
@@ -98,7 +99,6 @@ def validate_dataset(spark: SparkSession, out: str, docs: DataFrame | None = Non
 
     note("geometry", (geometry["window"], geometry["stride"], geometry["padding"]) != (context + 1, context, False) or manifest["storage"]["dtype"] != "uint16-le", context)
     note("tokenizer_identity", tokenizer.digest() != manifest["tokenizer"]["sha256"] or tokenizer.size != manifest["tokenizer"]["size"], tokenizer.size)
-    framing = []
     for name in sorted(splits):
         told, held = splits[name], shards.load_manifest(f"{out}/{name}")
         total = held["total_tokens"]
@@ -107,18 +107,14 @@ def validate_dataset(spark: SparkSession, out: str, docs: DataFrame | None = Non
         note(f"{name}.window_count", count != told["window_count"], count)
         note(f"{name}.tail", total - count * context != told["tail_token_count"], told["tail_token_count"])
         note(f"{name}.stream_digest", held["stream_sha256"] != told["stream_sha256"], len(held["shards"]))
-        stream = stored(shards.read(spark, f"{out}/{name}", tokenizer.size), "dataset-stream")
+        runs = validate.stream_runs(shards.read(spark, f"{out}/{name}", tokenizer.size), tokenizer.size, bos, eos, len(tokenizer.specials))
         # windows over a shard's end, each of which must have all its tokens
         cross = sorted({s["token_end"] // context for s in held["shards"][:-1] if s["token_end"] // context < count})
-        place = F.col("position")
-        windows = stream.select(F.explode(F.array_distinct(F.array(F.floor(place / context), F.floor((place - 1) / context)))).alias("w"))
-        wanted = spark.createDataFrame([(w,) for w in cross], "w long")
-        whole = windows.join(wanted, "w").groupBy("w").count().where(F.col("count") == context + 1).count()
-        note(f"{name}.shard_boundaries", whole != len(cross), len(cross))
-        marks = stream.agg(F.count_if(F.col("token") == bos).alias("b"), F.count_if(F.col("token") == eos).alias("e")).first()
-        note(f"{name}.documents", (marks.b, marks.e) != (told["document_count"], told["document_count"]), marks.b)
-        checked = validate.stream_checks(stream, tokenizer.size, bos, eos, len(tokenizer.specials))
-        framing.append(checked.select(F.concat(F.lit(f"{name}."), "name").alias("name"), "failures", F.lit(total).cast("long").alias("observed")))
+        note(f"{name}.shard_boundaries", validate.whole_windows(runs, cross, context) != len(cross), len(cross))
+        starts, ends = sum(r.bos for r in runs), sum(r.eos for r in runs)
+        note(f"{name}.documents", (starts, ends) != (told["document_count"], told["document_count"]), starts)
+        for what, failures in validate.run_checks(runs, bos, eos).items():
+            rows.append((f"{name}.{what}", failures, total))
     digests = [splits[n]["stream_sha256"] for n in splits]
     note("splits_are_distinct", len(set(digests)) != len(digests), len(digests))
     if docs is not None:
@@ -126,6 +122,4 @@ def validate_dataset(spark: SparkSession, out: str, docs: DataFrame | None = Non
         wrong = [r for r in again if (r.documents, r.tokens) != (splits[r.split]["document_count"], splits[r.split]["token_count"])]
         note("split_reproduces", len(wrong) or len(again) != len(splits), sum(r.documents for r in again))
     out_rows = spark.createDataFrame(rows, "name string, failures long, observed long")
-    for part in framing:
-        out_rows = out_rows.unionByName(part)
     return out_rows.select("name", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures", "observed")

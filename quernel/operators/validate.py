@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import sys
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,6 +72,76 @@ def stream_checks(tokens: DataFrame, vocabulary: int, bos: int, eos: int, specia
     return rows.unionByName(order)
 
 
+def _stream_runs(vocabulary: int, bos: int, eos: int, specials: int):
+    """A function of Arrow batches: a row for each run of neighbouring positions that a task reads in order."""
+
+    def runs(batches):
+        rows, now = [], None
+        for batch in batches:
+            places, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            for part in np.split(np.arange(len(places)), np.flatnonzero(np.diff(places) != 1) + 1):
+                if not len(part):
+                    continue
+                p, t = places[part], ids[part]
+                if now is None or p[0] != now["b"] + 1:
+                    rows += [now] if now else []
+                    now = dict.fromkeys(("bos", "eos", "range", "other", "again"), 0) | {"a": int(p[0]), "head": int(t[0]), "first": None, "last": None}
+                marks = t[(t == bos) | (t == eos)]
+                now |= {"b": int(p[-1]), "tail": int(t[-1])}
+                now["bos"] += int((marks == bos).sum())
+                now["eos"] += int((marks == eos).sum())
+                now["range"] += int(((t < 0) | (t >= vocabulary)).sum())
+                now["other"] += int((t >= vocabulary - specials).sum()) - len(marks)
+                if len(marks):
+                    now["again"] += int((marks[1:] == marks[:-1]).sum()) + int(marks[0] == now["last"])
+                    now["first"] = int(marks[0]) if now["first"] is None else now["first"]
+                    now["last"] = int(marks[-1])
+        rows += [now] if now else []
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in RUN], list(RUN))
+
+    return runs
+
+
+#: Of a run: its ends, its end tokens, its outer framing tokens, how many of each, and its faults.
+RUN = ("a", "b", "head", "tail", "first", "last", "bos", "eos", "range", "other", "again")
+
+
+def stream_runs(tokens: DataFrame, vocabulary: int, bos: int, eos: int, specials: int) -> list[Row]:
+    """Runs of a token stream (position, token) in order, one for each task if tasks read their tokens in order.
+
+    Counted where the tokens are read, so that no token is shuffled or written.
+    The framing tokens are two of the special ones.
+    """
+    made = tokens.mapInArrow(_stream_runs(vocabulary, bos, eos, specials), ", ".join(f"{c} long" for c in RUN))
+    return sorted(made.collect(), key=lambda r: r.a)
+
+
+def run_checks(runs: list[Row], bos: int, eos: int) -> dict[str, int]:
+    """Failures of what ``stream_checks`` tests, from the runs of a stream."""
+    marked = [r for r in runs if r.first is not None]
+    # the first framing token of all must be a start; each other one must differ from the one before
+    between = sum(r.first == before for r, before in zip(marked, [eos, *[r.last for r in marked]], strict=False))
+    ends = sum(r.head != bos for r in runs if r.a == 0)
+    if runs and (end := max(runs, key=lambda r: r.b)).b > 0:
+        ends += end.tail != eos
+    return {"endpoints": ends, "no_other_specials": sum(r.other for r in runs), "range": sum(r.range for r in runs), "alternation": sum(r.again for r in runs) + between}
+
+
+def whole_windows(runs: list[Row], windows: list[int], context: int) -> int:
+    """How many of the windows have each of their ``context`` + 1 tokens once; both lists are in order."""
+    whole, k = 0, 0
+    for w in windows:
+        low, high = w * context, (w + 1) * context
+        while k < len(runs) and runs[k].b < low:
+            k += 1
+        held, i = 0, k
+        while i < len(runs) and runs[i].a <= high:
+            held += max(0, min(runs[i].b, high) - max(runs[i].a, low) + 1)
+            i += 1
+        whole += held == context + 1
+    return whole
+
+
 def shard_checks(shards: DataFrame) -> DataFrame:
     """Shards of a split follow each other without gaps from token 0."""
     order = Window.partitionBy("split").orderBy("shard_index")

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from quernel.session import small_batches
+from quernel.session import parallel, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -193,10 +193,6 @@ def load_manifest(path: str) -> dict:
     return m
 
 
-def _tasks(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
 def write(stream: DataFrame, path: str, split: str, per_shard: int = 1_000_000, vocabulary: int = 65536, overwrite: bool = False) -> dict:
     """Write a token stream, (position, token) or runs of tokens as (position, ids).
 
@@ -211,7 +207,7 @@ def write(stream: DataFrame, path: str, split: str, per_shard: int = 1_000_000,
     runs = "ids" in stream.columns
     total = stream.agg(F.max(F.col("position") + (F.size("ids") if runs else F.lit(1)))).first()[0] or 0
     shards = max(1, -(-total // per_shard))
-    each = -(-shards // _tasks(spark))
+    each = -(-shards // parallel(spark))
     width, count = each * per_shard, -(-shards // each)
     if runs:
         # a run goes to each task of which it has tokens
@@ -232,7 +228,7 @@ def write(stream: DataFrame, path: str, split: str, per_shard: int = 1_000_000,
 
 def read(spark: SparkSession, path: str, vocabulary: int = 65536) -> DataFrame:
     spark.dataSource.register(TokenShards)
-    return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).option("tasks", _tasks(spark)).load()
+    return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).option("tasks", parallel(spark)).load()
 
 
 def token_range(spark: SparkSession, path: str, start: int, count: int, vocabulary: int = 65536) -> DataFrame:
@@ -240,4 +236,4 @@ def token_range(spark: SparkSession, path: str, start: int, count: int, vocabula
     if start < 0 or count < 0:
         raise ValueError("a range can't be negative")
     spark.dataSource.register(TokenShards)
-    return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).option("tasks", _tasks(spark)).option("start", start).option("count", count).load()
+    return spark.read.format("tokenshards").option("path", path).option("vocabulary", vocabulary).option("tasks", parallel(spark)).option("start", start).option("count", count).load()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernel.operators.dataset import offsets
+from quernel.session import parallel
 
 FIELDS = ["document_id", "text", "url", "date", "lang", "source_shard", "source_line", "text_sha256", "split_group"]
 
@@ -23,10 +24,13 @@ def shard_numbers(records: DataFrame, order: str, most_bytes: int = 256_000_000)
 
 
 def write_jsonl(records: DataFrame, path: str, order: str, most_bytes: int = 256_000_000) -> None:
-    """Gzip JSON-lines shards ``output_shard=N`` with nulls written out."""
+    """Gzip JSON-lines shards ``output_shard=N`` with nulls written out; a task writes neighbouring shards, one after another."""
     numbered = shard_numbers(records, order, most_bytes)
     count = (numbered.agg(F.max("output_shard")).first()[0] or 0) + 1
-    dealt = numbered.repartition(count, "output_shard").sortWithinPartitions("output_shard", order)
+    tasks = min(count, parallel(records.sparkSession))
+    part = F.floor(F.col("output_shard") * tasks / count).cast("int")
+    dealt = numbered.repartitionById(tasks, part) if hasattr(numbered, "repartitionById") else numbered.repartitionByRange(tasks, part)
+    dealt = dealt.sortWithinPartitions("output_shard", order)
     dealt.select("output_shard", *FIELDS).write.partitionBy("output_shard").option("compression", "gzip").option("ignoreNullFields", "false").mode("errorifexists").json(path)
 
 

@@ -32,8 +32,11 @@ BROADCAST_IDS = 4_000_000
 
 def features(docs: DataFrame, size: int = 8, min_tokens: int = 50) -> DataFrame:
     """(doc_id, n_tokens, grams): sorted distinct shingle hashes of long documents."""
-    rows = docs.select("doc_id", T.comparison_tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sort_array(F.array_distinct(T.gram_keys(F.col("tokens"), size))).alias("grams")).where(F.size("grams") > 0)
+    made = lambda t: F.struct(F.size(t).cast("long").alias("n_tokens"), F.sort_array(F.array_distinct(T.gram_keys(t, size))).alias("grams"))
+    long = F.filter(F.array(T.comparison_tokens(F.col("text"))), lambda t: F.size(t) >= min_tokens)
+    # the number, which is no function of a row, keeps the filter above the projection; pushed below it, it would make all shingles twice
+    rows = docs.select("doc_id", F.get(F.transform(long, made), 0).alias("f"), F.monotonically_increasing_id().alias("k"))
+    return rows.where("size(f.grams) > 0 AND k >= 0").select("doc_id", "f.n_tokens", "f.grams")
 
 
 def _set(grams: Column) -> Column:
